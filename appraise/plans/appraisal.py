@@ -36,12 +36,12 @@ def scored_lots(spark: SparkSession, base: str) -> DataFrame:
     """
     lots = read_table(spark, base, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
-    listings = read_table(spark, base, "part").select("p_partkey", "p_name", "p_retailprice")
-    joined = lots.join(listings, lots.l_partkey == listings.p_partkey)
-    labelled = joined.withColumns({
-        TRIM.name: label(_type_text(), TRIM),
-        TRANSMISSION.name: label(_type_text(), TRANSMISSION),
-    })
+    # Labels are computed on the listing side, once per listing, before the join.
+    listings = read_table(spark, base, "part").select(
+        "p_partkey", "p_retailprice",
+        label(_type_text(), TRIM).alias(TRIM.name),
+        label(_type_text(), TRANSMISSION).alias(TRANSMISSION.name))
+    labelled = lots.join(listings, lots.l_partkey == listings.p_partkey)
     return (split_fraction(labelled, "l_orderkey")
             .withColumn("prediction", F.col("l_quantity") * F.col("p_retailprice")))
 
