@@ -9,6 +9,7 @@ from appraise.plans.registry import QUERIES, Query
 PLAN_MODULES = (
     "appraise.plans.appraisal",
     "appraise.plans.lookups",
+    "appraise.plans.pages",
 )
 
 
