@@ -10,6 +10,7 @@ PLAN_MODULES = (
     "appraise.plans.appraisal",
     "appraise.plans.lookups",
     "appraise.plans.pages",
+    "appraise.plans.files",
 )
 
 
