@@ -11,6 +11,8 @@ PLAN_MODULES = (
     "appraise.plans.lookups",
     "appraise.plans.pages",
     "appraise.plans.files",
+    "appraise.plans.model",
+    "appraise.plans.streams",
 )
 
 
