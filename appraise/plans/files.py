@@ -20,6 +20,7 @@ from appraise.session import scratch_path
 from appraise.sources.files import (latest_file, list_objects, read_csv, read_split,
                                     write_dated, write_splits)
 from appraise.sources.tables import read_table
+from appraise.sources.workbook import read_workbooks, write_workbooks
 from appraise.streaming.events import body_sql, notification_rows
 
 PART_SCHEMA = ("p_partkey bigint, p_name string, p_brand string, p_type string, "
@@ -147,3 +148,12 @@ FROM r WHERE contains(s3_path, '{NOTIFY_MARKER}')"""
 def notify_messages(spark: SparkSession, base: str) -> DataFrame:
     """One notification row per result path under the marker folder."""
     return notification_rows(page_records(spark, base), RECIPIENTS, NOTIFY_MARKER)
+
+
+@query("workbook_scan", sql="SELECT * FROM part")
+def workbook_scan(spark: SparkSession, base: str) -> DataFrame:
+    """Listings written as several XLSX workbooks and scanned back in parallel."""
+    part = read_table(spark, base, "part")
+    path = scratch_path(spark, "workbooks")
+    write_workbooks(part.repartition(4, "p_partkey"), path)
+    return read_workbooks(spark, path, PART_SCHEMA)
