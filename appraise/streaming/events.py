@@ -68,9 +68,34 @@ def companion_prefix(key_col: str = "key", levels: int = 3, folder: str = "crawl
     return F.concat(uri.drop_last_levels(key_col, levels), F.lit("/" + folder))
 
 
-def attach_companion(requests: DataFrame, newest: DataFrame) -> DataFrame:
+def scoring_companion_prefix(key_col: str = "key", model_col: str = "model_type",
+                             folder: str = "crawling"):
+    """Scoring trigger: ``<first level>/training/<make>/crawling``."""
+    return F.concat(uri.first_level(key_col), F.lit("/training/"), F.col(model_col),
+                    F.lit("/" + folder))
+
+
+def attach_companion(requests: DataFrame, newest: DataFrame, prefix=None) -> DataFrame:
     """Stream-static join: newest companion file (``prefix``, ``companion_path``)."""
-    return requests.withColumn("prefix", companion_prefix()).join(newest, "prefix", "left")
+    p = companion_prefix() if prefix is None else prefix
+    return requests.withColumn("prefix", p).join(newest, "prefix", "left")
+
+
+def attach_run_inputs(requests: DataFrame, best_params: DataFrame | None = None,
+                      newest_model: DataFrame | None = None) -> DataFrame:
+    """Stream-static joins on the make: tuned parameters and / or the newest model.
+
+    ``best_params``: model_type, params (one row per make, e.g. from
+    ``operators.latest.best_per_key`` over the trials registry);
+    ``newest_model``: model_type, model_name, model_path.
+    """
+    out = requests
+    if best_params is not None:
+        out = out.join(best_params.select("model_type", "params"), "model_type", "left")
+    if newest_model is not None:
+        out = out.join(newest_model.select("model_type", "model_name", "model_path"),
+                       "model_type", "left")
+    return out
 
 
 def notification_rows(recs: DataFrame, recipients: Sequence[str],

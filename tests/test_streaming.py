@@ -49,3 +49,34 @@ def test_notification_rows(spark):
     assert rows[0]["file_name"] == "prediction_results.csv"
     assert rows[0]["attachment_path"] == "s3://bkt/" + KEYS[2]
     assert "ObjectCreated:Put" in rows[0]["html_body"]
+
+
+def test_run_inputs_attached_per_make(spark):
+    import datetime as dt
+
+    from appraise.operators.latest import best_per_key, latest_per_key
+    from appraise.streaming.events import attach_run_inputs
+    incoming = scratch_path(spark, "in")
+    _land(local_path(incoming), "n.json", KEYS)
+    trials = spark.createDataFrame(
+        [("toyota", 1, "Completed", 3.0, {"max_depth": "4"}),
+         ("toyota", 2, "Completed", 2.0, {"max_depth": "6"}),
+         ("toyota", 3, "Failed", 1.0, {"max_depth": "9"})],
+        "model_type string, trial_id long, status string, rmse double, "
+        "params map<string,string>")
+    best = best_per_key(trials.filter("status = 'Completed'"), ["model_type"], "rmse",
+                        "trial_id", ["params"])
+    models = spark.createDataFrame(
+        [("toyota", "Toyota-a", "p/a", dt.datetime(2024, 1, 1)),
+         ("toyota", "Toyota-b", "p/b", dt.datetime(2024, 2, 1)),
+         ("daihatsu", "Daihatsu-a", "p/c", dt.datetime(2024, 3, 1))],
+        "model_type string, model_name string, model_path string, created_at timestamp")
+    newest = latest_per_key(models, ["model_type"], "created_at", "model_name",
+                            ["model_name", "model_path"])
+    req = run_requests(records(stream_notifications(spark, incoming, 1)), routes_table(spark))
+    out = attach_run_inputs(req, best, newest)
+    sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    run_available(out, sink, ckpt)
+    rows = spark.read.parquet(sink).collect()
+    assert len(rows) == 1
+    assert rows[0]["params"]["max_depth"] == "6" and rows[0]["model_name"] == "Toyota-b"
