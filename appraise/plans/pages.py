@@ -95,9 +95,11 @@ SELECT {SEARCH_URL_SQL} AS url, CAST(count(*) AS BIGINT) AS n_listings FROM part
 def jsonld_found(spark: SparkSession, base: str) -> DataFrame:
     """Listings found per search URL over all of its result pages."""
     pages = listing_pages(read_table(spark, base, "part"))
-    parsed = parse_pages(pages).filter(F.col("found"))
-    return parsed.groupBy("url").agg(
-        F.sum(F.size("price_texts")).cast("bigint").alias("n_listings"))
+    # Count inside the aggregate (no row filter to push below the parse).
+    n = F.when(F.col("found"), F.size("price_texts")).otherwise(F.lit(0))
+    return (parse_pages(pages).groupBy("url")
+            .agg(F.sum(n).cast("bigint").alias("n_listings"))
+            .filter(F.col("n_listings") > 0))
 
 
 @query("page_lookup", sql=f"""

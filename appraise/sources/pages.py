@@ -32,9 +32,13 @@ def parse_pages(pages: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame
 
 
 def listing_prices(parsed: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    """One row per listing of every found page: kept columns, price text, price."""
-    return (parsed.filter(F.col("found"))
-            .select(*keep, F.explode("price_texts").alias("price_text"))
+    """One row per listing of every found page: kept columns, price text, price.
+
+    ``price_texts`` is NULL on pages without a listing and ``explode`` of NULL
+    gives no row, so no filter is needed; a filter on ``found`` would be pushed
+    below the parse and evaluate the page regex and JSON parse a second time.
+    """
+    return (parsed.select(*keep, F.explode("price_texts").alias("price_text"))
             .withColumn("price", markup.price_value("price_text")))
 
 
