@@ -114,3 +114,13 @@ def page_lookup(spark: SparkSession, base: str) -> DataFrame:
     lots = part.select("p_brand", "p_type", search_url().alias("url"))
     found, _ = lookup_listings(lots, "url", ["p_brand", "p_type"], listing_pages(part))
     return found.select("url", "p_brand", "p_type", "n_lots", "price")
+
+
+@query("links_joined", sql=f"""
+SELECT page_id, array_to_string(regexp_extract_all(html, {_sql_str(markup.ANCHOR_HREF)}, 1), ',')
+       AS links
+FROM pages""")
+def links_joined(spark: SparkSession, base: str) -> DataFrame:
+    """Per page, its links joined with commas in page order (no grouping needed)."""
+    pages = read_table(spark, base, "pages")
+    return pages.select("page_id", F.array_join(markup.links("html"), ",").alias("links"))

@@ -46,6 +46,13 @@ def records(notifications: DataFrame) -> DataFrame:
     return out.withColumn("s3_path", uri.compose_uri("bucket", "key"))
 
 
+def joined_paths(notifications: DataFrame, sep: str = ",") -> DataFrame:
+    """Per notification, its record paths joined in record order (a per-row array op)."""
+    paths = F.transform("Records", lambda r: F.concat(
+        F.lit("s3://"), r["s3"]["bucket"]["name"], F.lit("/"), r["s3"]["object"]["key"]))
+    return notifications.select(F.array_join(paths, sep).alias("paths"))
+
+
 def read_notifications(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(NOTIFICATION_SCHEMA).json(path)
 

@@ -80,3 +80,11 @@ def test_run_inputs_attached_per_make(spark):
     rows = spark.read.parquet(sink).collect()
     assert len(rows) == 1
     assert rows[0]["params"]["max_depth"] == "6" and rows[0]["model_name"] == "Toyota-b"
+
+
+def test_joined_paths_in_record_order(spark):
+    from appraise.streaming.events import joined_paths
+    incoming = scratch_path(spark, "in")
+    _land(local_path(incoming), "n.json", KEYS)
+    row = joined_paths(read_notifications(spark, incoming)).first()
+    assert row["paths"] == ",".join(f"s3://bkt/{k}" for k in KEYS)
