@@ -25,6 +25,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,15 +143,21 @@ def split_exact(df: DataFrame, key: str, test_size: float = TEST_SIZE,
                 seeds: Sequence[int] = TRAIN_SEEDS, out_col: str = "split") -> DataFrame:
     """Exact-size two-stage split; ``key`` must identify rows uniquely."""
     h1c, h2c = "__h1", "__h2"
+    # The cut search scans the hashed keys up to five times: keep them (only the
+    # key column and two longs) instead of recomputing md5 on every pass. Lost
+    # blocks are recomputed from the scan.
     keyed = df.select(F.col(key), hash32(key, seeds[0]).alias(h1c),
-                      hash32(key, seeds[1]).alias(h2c))
-    top1 = sorted(tuple(r) for r in keyed.groupBy(F.shiftright(F.col(h1c), 16).alias("b"))
-                  .count().collect())
-    n = sum(c for _, c in top1)
-    _, n_val, n_test = split_quotas(n, test_size, validation_size)
-    cut1 = find_cut(keyed, h1c, key, n_test, n, top1)
-    rest = keyed.filter(~cut1.predicate(F.col(h1c), F.col(key)))
-    cut2 = find_cut(rest, h2c, key, n_val, n - n_test)
+                      hash32(key, seeds[1]).alias(h2c)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        top1 = sorted(tuple(r) for r in keyed.groupBy(F.shiftright(F.col(h1c), 16).alias("b"))
+                      .count().collect())
+        n = sum(c for _, c in top1)
+        _, n_val, n_test = split_quotas(n, test_size, validation_size)
+        cut1 = find_cut(keyed, h1c, key, n_test, n, top1)
+        rest = keyed.filter(~cut1.predicate(F.col(h1c), F.col(key)))
+        cut2 = find_cut(rest, h2c, key, n_val, n - n_test)
+    finally:
+        keyed.unpersist()
     h1, h2, k = hash32(key, seeds[0]), hash32(key, seeds[1]), F.col(key)
     return df.withColumn(
         out_col,
