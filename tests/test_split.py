@@ -49,3 +49,14 @@ def test_fraction_split_is_a_projection(spark):
     assert abs(counts["test"] / n - 0.1) < 0.03
     assert abs(counts["validation"] / n - 0.18) < 0.04
     assert split_fraction(orders.repartition(5), "o_orderkey").exceptAll(df).count() == 0
+
+
+def test_xxhash_exact_split_sizes(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    out = {r[0]: r[1] for r in split_exact(df, "k", how="xxhash64").groupBy("split").count()
+           .collect()}
+    train, val, test = split_quotas(5000)
+    assert out == {"train": train, "validation": val, "test": test}
+    a = {tuple(r) for r in split_exact(df.repartition(3), "k", how="xxhash64").collect()}
+    b = {tuple(r) for r in split_exact(df, "k", how="xxhash64").collect()}
+    assert a == b
