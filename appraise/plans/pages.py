@@ -17,6 +17,7 @@ from appraise.functions import markup
 from appraise.functions.labels import _sql_str
 from appraise.operators.lookup import lookup_listings
 from appraise.plans.registry import query
+from appraise.plans.workflows import listing_url
 from appraise.sources.pages import listing_prices, page_links, parse_pages
 from appraise.sources.tables import read_table
 
@@ -124,3 +125,17 @@ def links_joined(spark: SparkSession, base: str) -> DataFrame:
     """Per page, its links joined with commas in page order (no grouping needed)."""
     pages = read_table(spark, base, "pages")
     return pages.select("page_id", F.array_join(markup.links("html"), ",").alias("links"))
+
+
+PAGE_URL_TEMPLATE = "https://listings.example/{brand}/{variant}/size-{p_size}?type={p_type}"
+
+
+@query("page_url", sql="""
+SELECT p_partkey,
+       'https://listings.example/toyota/avanza/size-' || CAST(p_size AS VARCHAR) || '?type='
+         || p_type AS url
+FROM part""")
+def page_url(spark: SparkSession, base: str) -> DataFrame:
+    """A listing search URL per row, composed from the template and row values."""
+    part = read_table(spark, base, "part")
+    return part.select("p_partkey", listing_url(PAGE_URL_TEMPLATE).alias("url"))
