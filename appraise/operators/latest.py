@@ -12,18 +12,44 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, TimestampNTZType
 
 
-def newest_first(ts: Column | str) -> Column:
-    """Sort key that puts the newest timestamp first in ascending order."""
+def newest_first(ts: Column | str, kind: DataType | None = None) -> Column:
+    """Sort key that puts the newest time first in ascending order.
+
+    Instants (``timestamp``) use epoch microseconds. Wall-clock values
+    (``timestamp_ntz``) are ordered by their own digits, never through the
+    session zone, where two values in a daylight-saving gap would collide.
+    """
     c = F.col(ts) if isinstance(ts, str) else ts
+    if isinstance(kind, TimestampNTZType):
+        return -wall_clock_micros(c)
+    if isinstance(kind, DateType):
+        return -F.unix_date(c)
     return -F.unix_micros(c.cast("timestamp"))
 
 
+def wall_clock_micros(c: Column) -> Column:
+    """Microseconds of a ``timestamp_ntz`` since 1970-01-01 00:00, from its own fields.
+
+    Field extraction on wall-clock values does not consult the session zone
+    (formatting and casts to ``timestamp`` do).
+    """
+    return (F.unix_date(c.cast("date")).cast("long") * F.lit(86_400_000_000)
+            + F.hour(c).cast("long") * F.lit(3_600_000_000)
+            + F.minute(c).cast("long") * F.lit(60_000_000)
+            + (F.extract(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long"))
+
+
+def _kind(df: DataFrame, col: str) -> DataType:
+    return df.schema[col].dataType
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
                    values: Sequence[str]) -> DataFrame:
     """Per key: the row with the newest ``ts``; ties go to the smallest ``tie``."""
-    order = F.struct(newest_first(ts).alias("t"), F.col(tie).alias("k"))
+    order = F.struct(newest_first(ts, _kind(df, ts)).alias("t"), F.col(tie).alias("k"))
     picked = F.min_by(F.struct(*[F.col(v) for v in values]), order).alias("__p")
     return (df.filter(F.col(ts).isNotNull())
             .groupBy(*keys).agg(picked)
@@ -50,7 +76,7 @@ def latest_with_fallback(df: DataFrame, keys: Sequence[str], kind: str,
                          values: Sequence[str], how: str = "endswith") -> DataFrame:
     """Per key: newest row of the first kind present, else of the next kind."""
     ranked = df.withColumn("__rank", preference_rank(kind, preferred, how))
-    order = F.struct(F.col("__rank").alias("r"), newest_first(ts).alias("t"),
+    order = F.struct(F.col("__rank").alias("r"), newest_first(ts, _kind(df, ts)).alias("t"),
                      F.col(tie).alias("k"))
     picked = F.min_by(F.struct(*[F.col(v) for v in values]), order).alias("__p")
     grouped = (ranked.filter(F.col("__rank").isNotNull() & F.col(ts).isNotNull())

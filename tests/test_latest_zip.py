@@ -41,3 +41,16 @@ def test_positions_are_dense_and_ordered(spark):
     df = spark.range(0, 5000, 1, 9).withColumnRenamed("id", "k").orderBy("k")
     pos = with_position(df.repartition(13), ["k"]).collect()
     assert sorted((r["pos"], r["k"]) for r in pos) == [(i, i) for i in range(5000)]
+
+
+def test_wall_clock_order_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("""SELECT * FROM VALUES
+            ('k', 1L, timestamp_ntz'2024-03-10 03:30:00'),
+            ('k', 0L, timestamp_ntz'2024-03-10 02:30:00') AS t(k, id, ts)""")
+        got = latest_per_key(df, ["k"], "ts", "id", ["id"]).first()["id"]
+        assert got == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
