@@ -59,15 +59,18 @@ def write_dated(df: DataFrame, path: str, run_date: str, model_type: str | None
 
 
 def write_splits(df: DataFrame, path: str, target: str, run_date: str,
-                 model_type: str, split_col: str = "split", fmt: str = "csv") -> None:
+                 model_type: str | None, split_col: str = "split", fmt: str = "csv") -> None:
     """Target-first rows, one folder per (model_type, split, run_date).
 
-    The CSV form is headerless, as the training reader expects.
+    The CSV form is headerless, as the training reader expects. ``model_type``
+    None gives the older layout without a make level: (split, run_date).
     """
     feats = [c for c in df.columns if c not in (target, split_col)]
-    out = (df.select(target, *feats, split_col)
-           .withColumn("model_type", F.lit(model_type)).withColumn("run_date", F.lit(run_date)))
-    parts = ["model_type", split_col, "run_date"]
+    out = df.select(target, *feats, split_col).withColumn("run_date", F.lit(run_date))
+    parts = [split_col, "run_date"]
+    if model_type is not None:
+        out = out.withColumn("model_type", F.lit(model_type))
+        parts = ["model_type"] + parts
     if fmt == "csv":
         write_csv(out, path, header=False, partition_by=parts)
     else:
@@ -75,10 +78,11 @@ def write_splits(df: DataFrame, path: str, target: str, run_date: str,
         out.write.mode("overwrite").partitionBy(*parts).format(fmt).save(path)
 
 
-def read_split(spark: SparkSession, path: str, schema: str, model_type: str, split: str,
+def read_split(spark: SparkSession, path: str, schema: str, model_type: str | None, split: str,
                run_date: str | None = None) -> DataFrame:
     """One split back, positional columns named by ``schema`` (partition-pruned path)."""
-    p = f"{path}/model_type={model_type}/split={split}"
+    p = f"{path}/model_type={model_type}/split={split}" if model_type is not None \
+        else f"{path}/split={split}"
     p = f"{p}/run_date={run_date}" if run_date else f"{p}/*"
     return read_headerless(spark, p, schema)
 

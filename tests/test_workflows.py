@@ -53,3 +53,13 @@ def test_typed_params(spark):
                                "params map<string,string>")
     r = df.select(*typed_params()).first()
     assert (r["max_depth"], r["eta"], r["num_round"], r["gamma"]) == (7, 0.25, 120, 2)
+
+
+def test_legacy_split_layout(spark):
+    df = spark.createDataFrame([(float(i), i % 3, "train" if i % 2 else "test") for i in range(20)],
+                               "y double, x int, split string")
+    from appraise.sources.files import write_splits
+    path = scratch_path(spark, "legacy")
+    write_splits(df, path, "y", "20240101", None)
+    back = read_split(spark, path, "y double, x int", None, "test", "20240101")
+    assert back.count() == 10
