@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from appraise.operators.lookup import lookup_listings
 from appraise.sources.pages import listing_prices, page_links, parse_pages

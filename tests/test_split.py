@@ -1,6 +1,5 @@
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from appraise.operators.split import (split_exact, split_exact_sql, split_fraction,
                                       split_quotas)

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from appraise.functions import text, uri
 from appraise.operators.routing import routes_table, route_paths

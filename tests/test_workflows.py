@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from appraise.operators.latest import latest_one, top_k
 from appraise.operators.prepare import mean_price_hook
