@@ -6,9 +6,9 @@ a handful of label values), so the plan deduplicates first:
 1. distinct (url, carried columns) with a row count ``n_lots`` – a hash
    aggregate whose partial step folds hot keys on the map side;
 2. pages restricted to the wanted URLs (semi join) and parsed once per page;
-3. combos joined to listings on url. The listing side is measured first and
-   broadcast only under a row bound; above it the join is a shuffle join with
-   AQE skew splitting.
+3. combos joined to listings on url. AQE measures the materialised listing
+   stage and broadcasts it only under the broadcast threshold; above it the
+   join stays a shuffle join with skew splitting.
 
 Each (combo, listing) pair is emitted once with the number of rows it stands
 for, instead of once per row: no group is expanded into all of its pairs.
@@ -23,17 +23,8 @@ from pyspark.sql import functions as F
 
 from appraise.sources.pages import listing_prices, parse_pages
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when it holds at most ``max_rows`` rows."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def lookup_listings(rows: DataFrame, url: str, carry: Sequence[str], pages: DataFrame,
-                    max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
+def lookup_listings(rows: DataFrame, url: str, carry: Sequence[str],
+                    pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(listings, misses) for the rows' computed URLs.
 
     listings: url, carried columns, n_lots, price_text, price
@@ -44,7 +35,10 @@ def lookup_listings(rows: DataFrame, url: str, carry: Sequence[str], pages: Data
     landed = pages.join(wanted.withColumnRenamed(url, "url"), "url", "left_semi")
     parsed = parse_pages(landed)
     prices = listing_prices(parsed).withColumnRenamed("url", url)
-    found = combos.join(bounded_broadcast(prices, max_broadcast_rows), url, "inner")
+    # No hint and no driver-side count (a count would run the page parse twice):
+    # AQE measures the listing stage once it is materialised and broadcasts it
+    # only under autoBroadcastJoinThreshold, else keeps the shuffle join.
+    found = combos.join(prices, url, "inner")
     page_state = parsed.groupBy("url").agg(F.max(F.col("found").cast("int")).alias("any_found"),
                                            F.min("reason").alias("reason")) \
         .withColumnRenamed("url", url)
