@@ -19,24 +19,30 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def parse_pages(pages: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    """One row per page: kept columns, found flag, miss reason, price texts."""
+    """One row per page: kept columns, found flag, miss reason, price texts.
+
+    The result leaves through ``inline_outer`` of a one-element array: filters
+    that callers put on ``found`` / ``reason`` / ``price_texts`` (or that Spark
+    infers for a later ``explode``) refer to generator output and cannot be
+    pushed below it, so the page regex and JSON parse run once per page instead
+    of once more inside a pushed-down filter.
+    """
     script = markup.first_jsonld("html")
     parsed = pages.select(*keep, script.alias("__script"))
     parsed = parsed.withColumn("__parsed", markup.parse_listing("__script"))
-    return parsed.select(
-        *keep,
+    result = F.struct(
         markup.listing_found("__parsed").alias("found"),
         markup.miss_reason("__script", "__parsed").alias("reason"),
         F.when(markup.listing_found("__parsed"), markup.listing_price_texts("__parsed"))
         .alias("price_texts"))
+    return parsed.select(*keep, F.inline_outer(F.array(result)))
 
 
 def listing_prices(parsed: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """One row per listing of every found page: kept columns, price text, price.
 
     ``price_texts`` is NULL on pages without a listing and ``explode`` of NULL
-    gives no row, so no filter is needed; a filter on ``found`` would be pushed
-    below the parse and evaluate the page regex and JSON parse a second time.
+    gives no row.
     """
     return (parsed.select(*keep, F.explode("price_texts").alias("price_text"))
             .withColumn("price", markup.price_value("price_text")))

@@ -37,3 +37,11 @@ def test_routes_join_is_broadcast_nested_loop(spark):
 
 def test_fraction_split_has_no_exchange(spark):
     assert "Exchange" not in _plan(E.queries()["split_fraction"](spark, SMALL))
+
+
+@pytest.mark.parametrize("name", ["jsonld_prices", "jsonld_misses", "page_lookup"])
+def test_page_parse_runs_once(spark, name):
+    plan = _plan(E.queries()[name](spark, SMALL))
+    # the only regex use is the one CASE in the parse projection (shared subexpression)
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert not any("ld+json" in f for f in filters)
