@@ -52,3 +52,22 @@ def test_labels_match_python(spark, texts):
     for r in df.select("t", *cols).collect():
         for i, rs in enumerate(rule_sets):
             assert r[f"l{i}"] == py_label(r["t"], rs), (r["t"], rs.name)
+
+
+@SETTINGS
+@given(data=st.data())
+def test_cut_search_with_ties_matches_sort(spark, data):
+    from pyspark.sql import functions as F
+
+    from appraise.operators.split import find_cut
+    n = data.draw(st.integers(min_value=1, max_value=300))
+    keys = data.draw(st.lists(st.integers(0, 10**6), min_size=n, max_size=n, unique=True))
+    # hashes from a tiny range (many ties), spread over both 16-bit halves
+    hashes = data.draw(st.lists(st.sampled_from([0, 1, 65536, 65537, 2**31, 2**32 - 1]),
+                                min_size=n, max_size=n))
+    quota = data.draw(st.integers(min_value=0, max_value=n))
+    df = spark.createDataFrame(list(zip(hashes, keys)), "h long, k long")
+    cut = find_cut(df, "h", "k", quota)
+    got = {r["k"] for r in df.filter(cut.predicate(F.col("h"), F.col("k"))).collect()}
+    want = {k for _, k in sorted(zip(hashes, keys))[:quota]}
+    assert got == want
