@@ -71,3 +71,39 @@ def test_cut_search_with_ties_matches_sort(spark, data):
     got = {r["k"] for r in df.filter(cut.predicate(F.col("h"), F.col("k"))).collect()}
     want = {k for _, k in sorted(zip(hashes, keys))[:quota]}
     assert got == want
+
+
+@SETTINGS
+@given(data=st.data())
+def test_latest_per_key_matches_python(spark, data):
+    import datetime as dt
+
+    from appraise.operators.latest import latest_per_key
+    rows = data.draw(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 5),
+                                        st.integers(0, 50)), min_size=1, max_size=80,
+                              unique_by=lambda r: r[2]))
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(k, t0 + dt.timedelta(minutes=m), i) for k, m, i in rows],
+                               "k string, ts timestamp_ntz, id long")
+    got = {r["k"]: r["id"] for r in latest_per_key(df, ["k"], "ts", "id", ["id"]).collect()}
+    want = {}
+    for k, m, i in rows:
+        best = want.get(k)
+        if best is None or (m, -i) > (best[0], -best[1]):
+            want[k] = (m, i)
+    assert got == {k: i for k, (m, i) in want.items()}
+
+
+@SETTINGS
+@given(data=st.data())
+def test_zip_join_matches_zip_longest(spark, data):
+    from itertools import zip_longest
+
+    from appraise.operators.positional import zip_join
+    a = data.draw(st.lists(st.integers(0, 10**6), max_size=60, unique=True))
+    b = data.draw(st.lists(st.integers(0, 10**6), min_size=1, max_size=60, unique=True))
+    parts = data.draw(st.integers(1, 5))
+    left = spark.createDataFrame([(x,) for x in a] or [], "a long").repartition(parts)
+    right = spark.createDataFrame([(x,) for x in b], "b long").repartition(parts)
+    rows = sorted(zip_join(left, right, ["a"], ["b"]).collect(), key=lambda r: r["pos"])
+    assert [(r["a"], r["b"]) for r in rows] == list(zip_longest(sorted(a), sorted(b)))
