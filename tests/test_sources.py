@@ -52,3 +52,15 @@ def test_csv_semicolon_and_headerless(spark):
     spark.createDataFrame([(1.5,), (2.5,)], "v double").write.csv(p2)
     assert sorted(r["prediksi"] for r in read_headerless(spark, p2, "prediksi double").collect()) \
         == [1.5, 2.5]
+
+
+def test_file_bodies_and_listing(spark):
+    from appraise.sources.files import list_objects, read_bodies
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "Type string, tahun int")
+    path = scratch_path(spark, "bodies")
+    df.coalesce(1).write.option("header", True).csv(path)
+    listing = list_objects(spark, f"{path}/*.csv").collect()
+    bodies = read_bodies(spark, f"{path}/*.csv").collect()
+    assert len(listing) == len(bodies) == 1
+    assert listing[0]["length"] == len(bodies[0]["content"])
+    assert bytes(bodies[0]["content"]).decode().splitlines()[0] == "Type,tahun"
