@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 
 def with_position(df: DataFrame, order_by: Sequence[str], name: str = "pos") -> DataFrame:
     """Add a 0-based position following ``order_by`` (ascending)."""
-    cols = [F.col(c).asc() for c in order_by]
-    local = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    # A hash of the whole row breaks ties among equal order keys, so a key value
+    # repeated across a third of the rows still spreads over many range partitions.
+    tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tie")
+    cols = [F.col(c).asc() for c in order_by] + [F.col("__tie").asc()]
+    local = (df.withColumn("__tie", tie).repartitionByRange(*cols).sortWithinPartitions(*cols)
              .withColumn("__pid", F.spark_partition_id())
              .withColumn("__mid", F.monotonically_increasing_id())
              .checkpoint(eager=True))
@@ -33,7 +36,7 @@ def with_position(df: DataFrame, order_by: Sequence[str], name: str = "pos") ->
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     return (local.join(F.broadcast(offsets.select("__pid", "__off", "__first")), "__pid")
             .withColumn(name, F.col("__off") + F.col("__mid") - F.col("__first"))
-            .drop("__pid", "__mid", "__off", "__first"))
+            .drop("__pid", "__mid", "__off", "__first", "__tie"))
 
 
 def zip_join(left: DataFrame, right: DataFrame, left_order: Sequence[str],

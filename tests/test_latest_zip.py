@@ -54,3 +54,16 @@ def test_wall_clock_order_ignores_session_zone(spark):
         assert got == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_positions_spread_a_hot_order_key(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 6000, 1, 6).select(
+        F.when(F.col("id") < 2000, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("v"))
+    out = with_position(df, ["k"])
+    pos = sorted(r["pos"] for r in out.collect())
+    assert pos == list(range(6000))
+    # rows of the hot key sit in one block of positions, before every other key
+    hot = sorted(r["pos"] for r in out.filter("k = 0").collect())
+    assert hot == list(range(2000))
