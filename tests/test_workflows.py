@@ -76,3 +76,16 @@ def test_tuned_params_from_trials(spark):
     p = tuned_params(trials, "toyota")
     assert (p.max_depth, p.num_round, p.eta) == (8, 120, 0.1)
     assert tuned_params(trials, "honda").max_depth == 5
+
+
+def test_newest_model_of_a_make(spark):
+    from appraise.plans.workflows import newest_model
+    from appraise.sources.registry import MODELS_SCHEMA
+    t0 = dt.datetime(2024, 1, 1)
+    models = spark.createDataFrame([
+        ("Toyota-b", "toyota", t0 + dt.timedelta(days=1), "p/b", {}, 1.0),
+        ("Toyota-a", "toyota", t0 + dt.timedelta(days=1), "p/a", {}, 1.0),
+        ("Toyota-old", "toyota", t0, "p/old", {}, 1.0),
+        ("Daihatsu-x", "daihatsu", t0 + dt.timedelta(days=9), "p/x", {}, 1.0)], MODELS_SCHEMA)
+    assert newest_model(models, "toyota") == ("Toyota-a", "p/a")
+    assert newest_model(models, "honda") is None
