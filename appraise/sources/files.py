@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from appraise.operators.latest import latest_with_fallback
 
@@ -20,11 +21,23 @@ from appraise.operators.latest import latest_with_fallback
 AUCTION_SUFFIXES = (".csv", ".xlsx")
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str,
-             sep: str = ",", header: bool = True) -> DataFrame:
-    """Header (or headerless) delimited text with a declared schema."""
-    return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("mode", "FAILFAST").csv(path))
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | StructType,
+             sep: str = ",", header: bool = True, by_name: bool = True) -> DataFrame:
+    """Header (or headerless) delimited text with a declared schema.
+
+    With a header, declared columns are matched by *name* (a feed whose columns
+    come in another order is still read right) and cast JVM-side; a missing
+    column fails. Headerless files are positional.
+    """
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    reader = spark.read.option("sep", sep).option("mode", "FAILFAST")
+    if not (header and by_name):
+        return reader.schema(st).option("header", header).csv(path)
+    raw = reader.option("header", True).option("inferSchema", False).csv(path)
+    missing = [f.name for f in st.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"columns {missing} missing from {path}")
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in st.fields])
 
 
 def read_headerless(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:

@@ -64,3 +64,14 @@ def test_file_bodies_and_listing(spark):
     assert len(listing) == len(bodies) == 1
     assert listing[0]["length"] == len(bodies[0]["content"])
     assert bytes(bodies[0]["content"]).decode().splitlines()[0] == "Type,tahun"
+
+
+def test_header_csv_is_read_by_name(spark):
+    import pytest
+    path = scratch_path(spark, "byname")
+    spark.createDataFrame([(2019, "AVANZA 1.3 G M/T", 1.5e8)], "tahun int, Type string, price double") \
+        .write.option("header", True).csv(path)
+    back = read_csv(spark, path, "price double, Type string, tahun int").first()
+    assert (back["price"], back["Type"], back["tahun"]) == (1.5e8, "AVANZA 1.3 G M/T", 2019)
+    with pytest.raises(ValueError):
+        read_csv(spark, path, "price double, cc string")
