@@ -53,12 +53,14 @@ def joined_paths(notifications: DataFrame, sep: str = ",") -> DataFrame:
     return notifications.select(F.array_join(paths, sep).alias("paths"))
 
 
-def read_notifications(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(NOTIFICATION_SCHEMA).json(path)
+def read_notifications(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Landed notifications: JSON lines, or one (pretty-printed) object per file."""
+    return spark.read.schema(NOTIFICATION_SCHEMA).option("multiLine", multiline).json(path)
 
 
-def stream_notifications(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(NOTIFICATION_SCHEMA)
+def stream_notifications(spark: SparkSession, path: str, max_files: int | None = None,
+                         multiline: bool = False) -> DataFrame:
+    reader = spark.readStream.schema(NOTIFICATION_SCHEMA).option("multiLine", multiline)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(path)

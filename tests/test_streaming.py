@@ -88,3 +88,15 @@ def test_joined_paths_in_record_order(spark):
     _land(local_path(incoming), "n.json", KEYS)
     row = joined_paths(read_notifications(spark, incoming)).first()
     assert row["paths"] == ",".join(f"s3://bkt/{k}" for k in KEYS)
+
+
+def test_pretty_printed_notification(spark):
+    incoming = scratch_path(spark, "in")
+    folder = local_path(incoming)
+    os.makedirs(folder, exist_ok=True)
+    recs = [{"eventTime": "t", "eventName": "ObjectCreated:Put",
+             "s3": {"bucket": {"name": "bkt"}, "object": {"key": k}}} for k in KEYS]
+    with open(os.path.join(folder, "event.json"), "w") as fh:
+        json.dump({"Records": recs}, fh, indent=2)
+    got = records(read_notifications(spark, incoming, multiline=True)).collect()
+    assert [r["key"] for r in got] == KEYS
