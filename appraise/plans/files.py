@@ -17,7 +17,7 @@ from appraise.operators.split import (TEST_SIZE, TRAIN_SEEDS, VALIDATION_SIZE,
                                       fraction_threshold, hash32_sql, split_fraction)
 from appraise.plans.registry import query
 from appraise.session import scratch_path
-from appraise.sources.files import (latest_file, list_objects, read_csv, read_split,
+from appraise.sources.files import (latest_file, list_objects, read_csv, read_splits,
                                     write_dated, write_splits)
 from appraise.sources.tables import read_table
 from appraise.sources.workbook import read_workbooks, write_workbooks
@@ -65,12 +65,7 @@ def csv_headerless(spark: SparkSession, base: str) -> DataFrame:
     split = split_fraction(feats, "l_orderkey").drop("l_orderkey")
     path = scratch_path(spark, "splits")
     write_splits(split, path, "l_extendedprice", RUN_DATE, "toyota")
-    out = None
-    for s in ("train", "validation", "test"):
-        part = read_split(spark, path, TRAIN_COLS, "toyota", s, RUN_DATE) \
-            .withColumn("split", F.lit(s))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return read_splits(spark, path, TRAIN_COLS, "toyota", RUN_DATE)
 
 
 @query("latest_file")

@@ -100,6 +100,17 @@ def read_split(spark: SparkSession, path: str, schema: str, model_type: str | No
     return read_headerless(spark, p, schema)
 
 
+def read_splits(spark: SparkSession, path: str, schema: str, model_type: str | None,
+                run_date: str, split_col: str = "split") -> DataFrame:
+    """Every split of one run in one scan: ``split`` comes from the folder names
+    (partition discovery) and the run date is pruned by partition filter."""
+    base = f"{path}/model_type={model_type}" if model_type is not None else path
+    df = read_headerless(spark, base, schema)
+    return (df.filter(F.col("run_date").cast("string") == F.lit(run_date))
+            .select(F.col(split_col).cast("string").alias(split_col),
+                    *StructType.fromDDL(schema).fieldNames()))
+
+
 def list_objects(spark: SparkSession, pattern: str, recursive: bool = True) -> DataFrame:
     """(path, modificationTime, length) of every file under a glob; content is not read."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
