@@ -48,9 +48,10 @@ def read_headerless(spark: SparkSession, path: str | Sequence[str], schema: str)
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Delimited text; partitions replaced dynamically on overwrite."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = df.write.mode(mode).option("header", header).option("sep", sep)
+    # Per-write option: only this write replaces partitions dynamically; the
+    # session setting seen by other writes is left alone.
+    w = (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+         .option("header", header).option("sep", sep))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
@@ -67,8 +68,8 @@ def write_dated(df: DataFrame, path: str, run_date: str, model_type: str | None
     if fmt == "csv":
         write_csv(out, path, header=header, sep=sep, partition_by=parts)
     else:
-        df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        out.write.mode("overwrite").partitionBy(*parts).format(fmt).save(path)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).format(fmt).save(path))
 
 
 def write_splits(df: DataFrame, path: str, target: str, run_date: str,
@@ -87,8 +88,8 @@ def write_splits(df: DataFrame, path: str, target: str, run_date: str,
     if fmt == "csv":
         write_csv(out, path, header=False, partition_by=parts)
     else:
-        df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        out.write.mode("overwrite").partitionBy(*parts).format(fmt).save(path)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).format(fmt).save(path))
 
 
 def read_split(spark: SparkSession, path: str, schema: str, model_type: str | None, split: str,

@@ -75,3 +75,16 @@ def test_header_csv_is_read_by_name(spark):
     assert (back["price"], back["Type"], back["tahun"]) == (1.5e8, "AVANZA 1.3 G M/T", 2019)
     with pytest.raises(ValueError):
         read_csv(spark, path, "price double, cc string")
+
+
+def test_dynamic_overwrite_keeps_other_partitions(spark):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    path = scratch_path(spark, "dyn")
+    a = spark.createDataFrame([("x", 1)], "Type string, tahun int")
+    write_dated(a, path, "20240101", model_type="toyota")
+    write_dated(a, path, "20240102", model_type="toyota")
+    write_dated(a.union(a), path, "20240102", model_type="toyota")
+    day1 = read_csv(spark, f"{path}/model_type=toyota/run_date=20240101", "Type string, tahun int")
+    day2 = read_csv(spark, f"{path}/model_type=toyota/run_date=20240102", "Type string, tahun int")
+    assert (day1.count(), day2.count()) == (1, 2)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
