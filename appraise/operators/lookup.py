@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from appraise.sources.pages import listing_prices, parse_pages
 
+
 def lookup_listings(rows: DataFrame, url: str, carry: Sequence[str],
                     pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(listings, misses) for the rows' computed URLs.
