@@ -79,11 +79,9 @@ def latest_with_fallback(df: DataFrame, keys: Sequence[str], kind: str,
     order = F.struct(F.col("__rank").alias("r"), newest_first(ts, _kind(df, ts)).alias("t"),
                      F.col(tie).alias("k"))
     picked = F.min_by(F.struct(*[F.col(v) for v in values]), order).alias("__p")
-    grouped = (ranked.filter(F.col("__rank").isNotNull() & F.col(ts).isNotNull())
-               .groupBy(*keys) if keys else
-               ranked.filter(F.col("__rank").isNotNull() & F.col(ts).isNotNull()))
-    out = grouped.agg(picked)
-    return out.select(*keys, *[F.col(f"__p.{v}").alias(v) for v in values])
+    base = ranked.filter(F.col("__rank").isNotNull() & F.col(ts).isNotNull())
+    grouped = base.groupBy(*keys) if keys else base
+    return grouped.agg(picked).select(*keys, *[F.col(f"__p.{v}").alias(v) for v in values])
 
 
 def best_per_key(df: DataFrame, keys: Sequence[str], metric: str, tie: str,
