@@ -46,3 +46,20 @@ def test_lookup_dedupes_and_reports_misses(spark):
                    ("b", 1, 149000000.0), ("b", 1, 150000000.0)]
     m = {(r["url"], r["reason"]) for r in misses.collect()}
     assert m == {("empty", "empty_list"), ("gone", "no_page")}
+
+
+def test_read_landed_pages_json(spark):
+    import json
+    import os
+
+    from appraise.session import scratch_path
+    from appraise.sources.pages import read_pages
+    from appraise.sources.workbook import local_path
+    folder = local_path(scratch_path(spark, "landed"))
+    os.makedirs(folder)
+    with open(os.path.join(folder, "pages.json"), "w") as fh:
+        for url, html in PAGES:
+            fh.write(json.dumps({"url": url, "html": html, "extra": 1}) + "\n")
+    pages = read_pages(spark, folder, fmt="json")
+    assert pages.columns == ["url", "html"] and pages.count() == len(PAGES)
+    assert listing_prices(parse_pages(pages)).count() == 3
