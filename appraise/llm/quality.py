@@ -26,9 +26,13 @@ MIN_WORDS = 10
 REPEAT_WINDOW = 5
 
 
-def words_of(text: Column) -> Column:
-    """Array of words."""
-    return F.filter(F.split(text, SPACES + "+"), lambda w: w != "")
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, whatever the optimizer copies around."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def n_words(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
 def word_chars(text: Column) -> Column:
@@ -39,46 +43,45 @@ def n_symbols(text: Column) -> Column:
     return F.regexp_count(text, F.lit(SYMBOLS)).cast("long")
 
 
-def word_lines(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
-
-
-def n_dup_lines(lines: Column) -> Column:
-    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
+def line_counts(text: Column) -> Column:
+    """Struct (n, dup): lines with a word, and those equal to an earlier one."""
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
+    return let(lines, lambda x: F.struct(
+        F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
 
 
-def with_repeat_words(df: DataFrame, words: str = "_words", out: str = "_repeat") -> DataFrame:
-    """Add the number of words inside 5-word windows that occur twice or more in the text.
+def n_repeat_words(text: Column) -> Column:
+    """Words inside 5-word windows that occur twice or more in the text.
 
     Windows are hashed; only a text with a repeated hash sorts its (hash, place)
     pairs, and neighbours with equal hashes must also have equal words. The
     covered words are summed over the sorted places, each up to the next one.
     """
-    n, w = REPEAT_WINDOW, F.col(words)
-    hashes = F.when(F.size(w) > n, F.transform(
-        F.sequence(F.lit(1), F.size(w) - (n - 1)),
-        lambda i: F.xxhash64(F.slice(w, i, n)))).otherwise(F.array().cast("array<long>"))
-    df = df.withColumn("_hash", hashes)
-    # The clause in the lambda keeps texts without any repeated hash out of the sort.
-    repeated = F.size(F.array_distinct("_hash")) < F.size("_hash")
-    pairs = F.when(repeated, F.array_sort(F.transform(
-        F.col("_hash"), lambda h, i: F.struct(h.alias("h"), i.alias("at"))))).otherwise(
-        F.array().cast("array<struct<h:bigint,at:int>>"))
-    df = df.withColumn("_pairs", pairs)
-    p = F.col("_pairs")
-
-    def same(x, y):
-        return (x["h"] == y["h"]) & (F.slice(w, x["at"] + 1, n) == F.slice(w, y["at"] + 1, n))
-
-    places = F.array_sort(F.transform(F.filter(p, lambda x, i: F.coalesce(
-        same(x, F.get(p, i - 1)), F.lit(False)) | F.coalesce(same(x, F.get(p, i + 1)), F.lit(False))),
-        lambda x: x["at"]))
-    df = df.withColumn("_places", places)
-    at = F.col("_places")
-    covered = F.aggregate(F.transform(at, lambda x, i: F.coalesce(
-        F.least(F.get(at, i + 1) - x, F.lit(n)), F.lit(n))), F.lit(0).cast("long"),
-        lambda acc, x: acc + x)
-    return df.withColumn(out, covered).drop("_hash", "_pairs", "_places")
+    n = REPEAT_WINDOW
+    words = F.filter(F.split(text, SPACES + "+"), lambda w: w != "")
+
+    def of_words(w):
+        hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.slice(w, i, n)))
+
+        def window(x):
+            return F.slice(w, x["at"] + 1, n)
+
+        def same(x, y):
+            return F.coalesce((x["h"] == y["h"]) & (window(x) == window(y)), F.lit(False))
+
+        def of_pairs(p):
+            twice = F.filter(p, lambda x, i: same(x, F.get(p, i - 1)) | same(x, F.get(p, i + 1)))
+            return let(F.array_sort(F.transform(twice, lambda x: x["at"])), lambda at: F.aggregate(
+                F.transform(at, lambda x, i: F.coalesce(F.least(F.get(at, i + 1) - x, F.lit(n)), F.lit(n))),
+                F.lit(0).cast("long"), lambda acc, x: acc + x))
+
+        def of_hashes(h):
+            return F.when(F.size(F.array_distinct(h)) < F.size(h), let(F.array_sort(F.transform(
+                h, lambda x, i: F.struct(x.alias("h"), i.alias("at")))), of_pairs)).otherwise(F.lit(0).cast("long"))
+
+        return F.when(F.size(w) > n, let(hashes, of_hashes)).otherwise(F.lit(0).cast("long"))
+
+    return let(words, of_words)
 
 
 # Rules: name -> condition that rejects, over the measure columns below.
@@ -87,7 +90,7 @@ RULES: dict[str, str] = {
     "long_words": "_chars > 25 * _n_words",
     "short_words": "_chars < 2 * _n_words",
     "symbols": "3 * _symbols > _n_words",
-    "dup_lines": "2 * _dup_lines > _n_lines",
+    "dup_lines": "2 * _lines.dup > _lines.n",
     "repeats": "100 * _repeat > 20 * _n_words",
 }
 BASE = ("few_words", "repeats")
@@ -96,22 +99,16 @@ NEEDS = {"few_words": ("words",), "long_words": ("words", "chars"),
          "dup_lines": ("lines",), "repeats": ("words", "repeat")}
 
 
+MEASURES = {"words": ("_n_words", n_words), "chars": ("_chars", word_chars),
+            "symbols": ("_symbols", n_symbols), "lines": ("_lines", line_counts),
+            "repeat": ("_repeat", n_repeat_words)}
+
+
 def _measured(df: DataFrame, needs: tuple[str, ...]) -> DataFrame:
     """Add the measure columns over ``_text`` that ``needs`` names."""
-    t = F.col("_text")
-    if "words" in needs:
-        df = df.withColumn("_words", words_of(t))
-        df = df.withColumn("_n_words", F.size("_words").cast("long"))
-    if "chars" in needs:
-        df = df.withColumn("_chars", word_chars(t))
-    if "symbols" in needs:
-        df = df.withColumn("_symbols", n_symbols(t))
-    if "lines" in needs:
-        df = df.withColumn("_lines", word_lines(t))
-        df = df.withColumn("_n_lines", F.size("_lines")).withColumn("_dup_lines", n_dup_lines(F.col("_lines")))
-        df = df.drop("_lines")
-    if "repeat" in needs:
-        df = with_repeat_words(df)
+    for name in needs:
+        column, of = MEASURES[name]
+        df = df.withColumn(column, of(F.col("_text")))
     return df
 
 
@@ -151,7 +148,7 @@ def judge(docs: DataFrame, text_col: str = "text", order: list[str] | None = Non
     """``docs`` in struct ``_doc`` with every measure, ``_base_failed`` and ``_rejected_by``."""
     order = order or rule_order(docs, text_col)
     df = docs.select(F.struct("*").alias("_doc"), text_of(text_col).alias("_text"))
-    df = _measured(df, ("words", "chars", "symbols", "lines", "repeat")).drop("_text", "_words")
+    df = _measured(df, tuple(MEASURES)).drop("_text")
     base = F.expr(" OR ".join(f"({RULES[r]})" for r in BASE))
     return df.withColumn("_base_failed", base).withColumn("_rejected_by", _verdict(order))
 
@@ -178,7 +175,7 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         F.col("_doc.doc_id").alias("doc_id"), F.col("_n_words").alias("n_words"),
         F.col("_chars").alias("word_chars"), F.col("_symbols").alias("n_symbols"),
-        F.col("_dup_lines").alias("n_dup_lines"), F.col("_repeat").alias("n_repeat_words"),
+        F.col("_lines.dup").alias("n_dup_lines"), F.col("_repeat").alias("n_repeat_words"),
         F.col("_base_failed").alias("base_failed"), F.col("_rejected_by").isNull().alias("kept"))
 
 
