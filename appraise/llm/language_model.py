@@ -101,7 +101,7 @@ class Vocabulary:
         n = len(self.counts)
         edges = [0, *(min(n, b) for b in BANDS)]
         self.edges = edges
-        rest_n, rest_v = total - self.counts.sum(), distinct - n
+        rest_n, rest_v = total - self.counts.sum(), max(0, distinct - n)
         self.rest_scale = math.log10(rest_n + 0.5 * (rest_v + 1))
         mass = np.zeros(N_CLASSES)
         soft = np.concatenate((self.counts[:SOFT], np.zeros(max(0, SOFT - n)))).reshape(CLASSES, MEMBERS)

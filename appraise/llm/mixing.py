@@ -27,7 +27,7 @@ WEIGHTS = (3, 1, 2)         # by source in code point order, repeating
 SHARE = 1.5                 # words of the mix over words of the documents
 COSTS = (0.0, 1.0)          # cost of a word's first and second use; its length is the repetition limit
 SEED = 20
-BUCKETS = 1 << 16
+BUCKETS = 1 << 12
 MAX_PATTERNS = 100_000      # rows the driver may hold; more patterns fail rather than being cut
 
 
