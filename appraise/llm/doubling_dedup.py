@@ -67,21 +67,19 @@ def _regions(length: int, first: int):
         for b in batches:
             rows = []
             for doc, th, found, text in zip(b.column("_id").to_pylist(), b.column("_th").to_pylist(),
-                                            b.column("_places").to_pylist(), binary_rows(b.column("_text"))):
-                words = text.split()
-                found = found or []
+                                            b.column("_places").to_pylist(), binary_rows(b.column("_z"))):
+                found, words = P.read_places(found, th), P.unzip(text).split()
                 starts, ends = P.settled_spans(found, length)
                 asked = False
-                for p in found:
-                    if P.status_of(p["info"]) != P.ASK:
+                for status, lo, most, least in zip(*(x.tolist() for x in found)):
+                    if status != P.ASK:
                         continue
                     asked = True
-                    most, least = P.offsets_of(p["info"])
-                    at = p["lo"] + most
+                    at = lo + most
                     seed = b" ".join(words[at:at + first])
-                    rows.append({"kind": REGION, "_id": doc, "_th": th, "lo": p["lo"], "info": p["info"],
+                    rows.append({"kind": REGION, "_id": doc, "_th": th, "lo": lo, "info": least << 8 | most,
                                  "cls": int.from_bytes(hashlib.blake2b(seed, digest_size=8).digest(), "big", signed=True),
-                                 "body": b" ".join(words[p["lo"]:at - least + length])})
+                                 "body": b" ".join(words[lo:at - least + length])})
                 row = {"kind": WAITING if asked else RESULT, "_id": doc, "_th": th, "n": len(words)}
                 if asked:
                     row |= {"text": text, "starts": starts.tolist(), "ends": ends.tolist()}
@@ -149,7 +147,8 @@ def _compare(length: int, first: int):
 
         def out(cols):
             cls, body, doc, th, lo, info = cols
-            most, least = P.offsets_of(info.astype(np.int64))
+            info = info.astype(np.int64)
+            most, least = info & 255, info >> 8
             entry, start = later_windows(cls, body.tolist(), doc, lo, most, least, length, first)
             if not len(entry):
                 return []
@@ -182,7 +181,7 @@ def _finish(batches):
         for doc, th, starts, ends, found, text in zip(
                 *(b.column(c).to_pylist() for c in ("_id", "_th", "starts", "ends", "_found")),
                 binary_rows(b.column("text"))):
-            found, words = found or [], text.split()
+            found, words = found or [], P.unzip(text).split()
             s, e = P.merged(np.array(starts + [x["s"] for x in found], np.int64),
                             np.array(ends + [x["e"] for x in found], np.int64))
             rows.append((doc, th, len(words), *cut_out(words, s.tolist(), e.tolist())))
@@ -196,8 +195,8 @@ def removed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Words covered by a ``length``-word window that also starts earlier go.
     """
     whole = keyed(docs, id_col, text_col)
-    found = P.places(whole, word_symbols, first, length, earliest=True)
-    mid = cut(whole.join(found, ["_id", "_th"], "left").mapInArrow(_regions(length, first), MID_DDL), "regions")
+    placed = P.with_places(whole, word_symbols, first, length, earliest=True)
+    mid = cut(placed.mapInArrow(_regions(length, first), MID_DDL), "regions")
     spans = (mid.where(f"kind = {REGION}").select("cls", "body", "_id", "_th", "lo", "info")
              .repartition(shuffle_width(docs.sparkSession), "cls").sortWithinPartitions("cls")
              .mapInArrow(_compare(length, first), "_id long, _th long, s long, e long"))

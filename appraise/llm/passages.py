@@ -97,21 +97,29 @@ def regions(symbols: np.ndarray, gram: int, length: int):
     return [np.concatenate(c) for c in zip(*parts)]
 
 
-SEEDS = pa.schema([("g", pa.int64()), ("rh", pa.int64()), ("_id", pa.int64()), ("_th", pa.int64()),
-                   ("lo", pa.int64()), ("info", pa.int32())])
-SEEDS_DDL = "g long, rh long, _id long, _th long, lo long, info int"
-PLACES = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("lo", pa.int64()), ("info", pa.int32())])
-PLACES_DDL = "_id long, _th long, lo long, info int"
-SETTLED, TWICE = 1 << 16, 1 << 17        # flags above the two offsets
+# A region's place in one long: 31 bits first window, 14 bits of the text's hash (rows that share
+# an id but not a text), two flag or status bits, least and most offset.
+SEEDS = pa.schema([("g", pa.int64()), ("rh", pa.int64()), ("_id", pa.int64()), ("p", pa.int64())])
+SEEDS_DDL = "g long, rh long, _id long, p long"
+PLACES = pa.schema([("_id", pa.int64()), ("p", pa.int64())])
+PLACES_DDL = "_id long, p long"
+SETTLED, TWICE = 1 << 16, 1 << 17
+_FLAGS = 3 << 16
 
 
-def offsets_of(info: int | np.ndarray):
-    """(most, least) offset."""
-    return info & 255, (info >> 8) & 255
+def tag_of(th):
+    return th & 0x3FFF
 
 
-def status_of(info: int | np.ndarray):
-    return info >> 20
+def place_of(lo, th, most, least):
+    return lo << 32 | tag_of(th) << 18 | least << 8 | most
+
+
+def read_places(found: list[int] | None, th: int):
+    """(status, first window, most, least offset) arrays of the places of the text with hash ``th``."""
+    p = np.array(found or [], np.int64)
+    p = p[tag_of(p >> 18) == tag_of(th)]
+    return (p >> 16) & 3, p >> 32, p & 255, (p >> 8) & 255
 
 
 def _fold(rows: list[np.ndarray], earliest: bool):
@@ -120,27 +128,28 @@ def _fold(rows: list[np.ndarray], earliest: bool):
     The first (by id, place) stays, the others are settled. With ``earliest``
     the first itself stays open and a repeated row is no copy of itself.
     """
-    g, rh, doc, th, lo, info = (np.concatenate(c) for c in zip(*rows))
-    order = np.lexsort((th, lo, doc, rh, g))
-    g, rh, doc, th, lo, info = (c[order] for c in (g, rh, doc, th, lo, info))
+    g, rh, doc, p = (np.concatenate(c) for c in zip(*rows))
+    order = np.lexsort((p, doc, rh, g))
+    g, rh, doc, p = (c[order] for c in (g, rh, doc, p))
     new = np.concatenate(([True], (g[1:] != g[:-1]) | (rh[1:] != rh[:-1])))
     run = np.cumsum(new) - 1
     start = np.flatnonzero(new)
     size = np.diff(np.concatenate((start, [len(g)])))
     first = start[run]
     copy = ~new
+    keep = np.ones(len(g), bool)
     if earliest:
-        same = copy & (doc == doc[first]) & (lo == lo[first])
-        again = same & (th == th[first])
+        same = copy & (doc == doc[first]) & (p >> 32 == p[first] >> 32)
+        keep = ~(same & (p == p[first]))
         copy &= ~same
-        keep = ~again
     else:
-        keep = np.ones(len(g), bool)
-        info = np.where(new & (size[run] > 1), info | TWICE, info)
-    info = np.where(copy, info | SETTLED, info)
+        p = np.where(new & (size[run] > 1), p | TWICE, p)
+    p = np.where(copy, p | SETTLED, p)
     # Settled rows only travel to their document: spread them.
-    g = np.where(copy, mixed((rh ^ lo * 3 ^ doc * 5).view(np.uint64)).view(np.int64), g)
-    return [c[keep] for c in (g, rh, doc, th, lo, info.astype(np.int32))]
+    g = np.where(copy, mixed((rh ^ p * 3 ^ doc * 5).view(np.uint64)).view(np.int64), g)
+    order = np.lexsort((p, doc))                # neighbours alike: the shuffle files compress better
+    order = order[keep[order]]
+    return [c[order] for c in (g, rh, doc, p)]
 
 
 def seed_rows(docs: DataFrame, symbolise, gram: int, length: int, earliest: bool) -> DataFrame:
@@ -154,10 +163,9 @@ def seed_rows(docs: DataFrame, symbolise, gram: int, length: int, earliest: bool
                 if found is None:
                     continue
                 g, rh, lo, most, least = found
-                m = len(g)
-                held.append((g.view(np.int64), rh.view(np.int64), np.full(m, doc), np.full(m, th),
-                             lo, most | least << 8))
-                n += m
+                held.append((g.view(np.int64), rh.view(np.int64), np.full(len(g), doc),
+                             place_of(lo, th, most, least)))
+                n += len(g)
             if n >= FLUSH_AT:
                 yield batch_of(SEEDS, _fold(held, earliest))
                 held, n = [], 0
@@ -167,7 +175,7 @@ def seed_rows(docs: DataFrame, symbolise, gram: int, length: int, earliest: bool
 
 
 def _classify(batches, earliest: bool):
-    """Rows sorted by (g, rh, _id, lo): what is settled and what must be compared.
+    """Rows sorted by (g, rh, _id, p): what is settled and what must be compared.
 
     Streams; held back is one run of equal regions, at most a row per task.
     """
@@ -175,31 +183,29 @@ def _classify(batches, earliest: bool):
 
     def decide(c, following):
         nonlocal before
-        g, rh, doc, th, lo, info = c
+        g, rh, doc, p = c
         new = np.concatenate(([True], (g[1:] != g[:-1]) | (rh[1:] != rh[:-1])))
         start = np.flatnonzero(new)
         end = np.concatenate((start[1:], [len(g)]))
         run = np.cumsum(new) - 1
-        settled = (info & SETTLED) != 0
         prev_g = np.concatenate(([before if before is not None else ~g[0]], g[:-1]))
         next_g = np.concatenate((g[1:], [following if following is not None else ~g[-1]]))
         mixed_class = (prev_g[start] == g[start]) | (next_g[end - 1] == g[end - 1])
         before = g[-1]
-        many = (end - start > 1) | ((info[start] & TWICE) != 0)
+        many = (end - start > 1) | ((p[start] & TWICE) != 0)
         first = start[run]
         status = np.full(len(g), -1)
         if earliest:
-            tie = (doc == doc[first]) & (lo == lo[first])
+            tie = (doc == doc[first]) & (p >> 32 == p[first] >> 32)
             status[~tie] = DONE
             status[tie & mixed_class[run]] = ASK
         else:
             status[many[run]] = DONE
             status[new & many[run] & mixed_class[run]] = PARTNER
             status[new & ~many[run] & mixed_class[run]] = ASK
-        status[settled] = DONE
+        status[(p & SETTLED) != 0] = DONE
         keep = status >= 0
-        return batch_of(PLACES, [doc[keep], th[keep], lo[keep],
-                                 ((info[keep] & 65535) | (status[keep] << 20)).astype(np.int32)])
+        return batch_of(PLACES, [doc[keep], (p[keep] & ~_FLAGS) | status[keep] << 16])
 
     for b in batches:
         c = [b.column(n).to_numpy() for n in SEEDS.names]
@@ -208,7 +214,6 @@ def _classify(batches, earliest: bool):
         if not len(c[0]):
             continue
         g, rh = c[0], c[1]
-        cut_at = len(g) - 1
         same = (g == g[-1]) & (rh == rh[-1])
         cut_at = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
         if cut_at:
@@ -218,12 +223,31 @@ def _classify(batches, earliest: bool):
         yield decide(carry, None)
 
 
-def places(docs: DataFrame, symbolise, gram: int, length: int, earliest: bool) -> DataFrame:
-    """(_id, _th, _places): per document the regions that are settled or must be compared."""
+def with_places(docs: DataFrame, symbolise, gram: int, length: int, earliest: bool) -> DataFrame:
+    """(_id, _th, _z, _places): every document, its text zipped, with the regions that are settled
+    or must be compared."""
     rows = seed_rows(docs, symbolise, gram, length, earliest)
-    judged = rows.repartition("g").sortWithinPartitions("g", "rh", "_id", "lo").mapInArrow(
+    judged = rows.repartition("g").sortWithinPartitions("g", "rh", "_id", "p").mapInArrow(
         lambda it: _classify(it, earliest), PLACES_DDL)
-    return judged.groupBy("_id", "_th").agg(F.collect_list(F.struct("lo", "info")).alias("_places"))
+    return zipped(docs).join(judged.groupBy("_id").agg(F.collect_list("p").alias("_places")), "_id", "left")
+
+
+ZIPPED = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("_z", pa.binary())])
+
+
+def zipped(docs: DataFrame) -> DataFrame:
+    """Texts compressed one by one: they cross the shuffles and the scratch folder in that form."""
+    def run(batches):
+        import zstandard
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            yield batch_of(ZIPPED, [b.column("_id"), b.column("_th"), [pack(t) for t in binary_rows(b.column("_text"))]])
+    return docs.mapInArrow(run, "_id long, _th long, _z binary")
+
+
+def unzip(z: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdDecompressor().decompress(z)
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,10 +260,8 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return s[new], e[np.concatenate((new[1:], [True]))]
 
 
-def settled_spans(found: list, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spans of the settled regions among a document's (lo, info) places."""
-    lo = np.array([p["lo"] for p in found], np.int64)
-    info = np.array([p["info"] for p in found], np.int64)
-    most, least = offsets_of(info)
-    use = status_of(info) != ASK
+def settled_spans(found, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of the settled regions among a document's places."""
+    status, lo, most, least = found
+    use = status != ASK
     return merged(lo[use], (lo + most - least + length)[use])

@@ -200,23 +200,21 @@ def _suffixes(length: int, gram: int, parts: int):
         for b in batches:
             rows = []
             for doc, th, found, text in zip(b.column("_id").to_pylist(), b.column("_th").to_pylist(),
-                                            b.column("_places").to_pylist(), binary_rows(b.column("_text"))):
-                found = found or []
+                                            b.column("_places").to_pylist(), binary_rows(b.column("_z"))):
+                found, zipped, text = P.read_places(found, th), text, P.unzip(text)
                 starts, ends = P.settled_spans(found, length)
                 asked = False
-                for p in found:
-                    status = P.status_of(p["info"])
+                for status, lo, most, least in zip(*(x.tolist() for x in found)):
                     if status == P.DONE:
                         continue
-                    most, least = P.offsets_of(p["info"])
-                    at = p["lo"] + most
+                    at = lo + most
                     key = hashlib.blake2b(text[at:at + gram], digest_size=8).digest() + text[at:at - least + length]
-                    entries.append((key, text[p["lo"]:at], doc, th, p["lo"], p["info"]))
+                    entries.append((key, text[lo:at], doc, th, lo, least << 8 | most))
                     held += len(key) + most
                     asked |= status == P.ASK
                 row = {"kind": WAITING if asked else RESULT, "_id": doc, "_th": th, "n": len(text)}
                 if asked:
-                    row |= {"text": text, "starts": starts.tolist(), "ends": ends.tolist()}
+                    row |= {"text": zipped, "starts": starts.tolist(), "ends": ends.tolist()}
                 else:
                     row |= dict(zip(("removed", "spans", "sha"), cut_out(text, starts.tolist(), ends.tolist())))
                 rows.append(row)
@@ -243,7 +241,7 @@ def compare_part(runs: list[dict], length: int) -> list[np.ndarray] | None:
     if len(lefts) < 2:
         return None
     doc, th, lo, info = (np.array(c, np.int64) for c in zip(*cols))
-    most, least = P.offsets_of(info)
+    most, least = info & 255, info >> 8
     entry, offset = repeated_offsets(np.array(shared, np.int64), lefts, most, least, length)
     start = lo[entry] + most[entry] - offset
     # Neighbouring windows of one document become one span.
@@ -281,7 +279,7 @@ def _finish(batches):
         for doc, th, starts, ends, found, text in zip(
                 *(b.column(c).to_pylist() for c in ("_id", "_th", "starts", "ends", "_found")),
                 binary_rows(b.column("text"))):
-            found = found or []
+            found, text = found or [], P.unzip(text)
             s, e = P.merged(np.array(starts + [x["s"] for x in found], np.int64),
                             np.array(ends + [x["e"] for x in found], np.int64))
             rows.append((doc, th, len(text), *cut_out(text, s.tolist(), e.tolist())))
@@ -296,8 +294,8 @@ def removed_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     whole = keyed(docs, id_col, text_col)
     parts = shuffle_width(docs.sparkSession)
-    found = P.places(whole, byte_symbols, gram, length, earliest=False)
-    mid = cut(whole.join(found, ["_id", "_th"], "left").mapInArrow(_suffixes(length, gram, parts), MID_DDL), "suffixes")
+    placed = P.with_places(whole, byte_symbols, gram, length, earliest=False)
+    mid = cut(placed.mapInArrow(_suffixes(length, gram, parts), MID_DDL), "suffixes")
     spans = (mid.where(f"kind = {RUN}").select("part", "shared", "rest", "left", "ids", "ths", "los", "infos")
              .repartition(parts, "part").sortWithinPartitions("part")
              .mapInArrow(_merge(length), "_id long, _th long, s long, e long"))
