@@ -1,7 +1,7 @@
 """HTML and JSON-LD extraction as native expressions.
 
 A page is searched with a regex for its first ``<script type="application/ld+json">``
-block (attribute order, quoting and case are free), the block is parsed with
+block (attribute order, quoting and case are free, comments are skipped), the block is parsed with
 ``from_json`` against the listing schema, and prices are read from
 ``[0].itemListElement[*].item.offers.price``. Prices are read as text, since the
 JSON may hold a number or a quoted string, and then ``try_cast`` to double.
@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-JSONLD_SCRIPT = (r"(?is)<script\b[^>]*?\btype\s*=\s*[\"']?application/ld\+json[\"']?[^>]*>"
-                 r"(.*?)</script\s*>")
+JSONLD_SCRIPT = (r"(?is)<script(?:\s[^>]*?)?\stype\s*=\s*(?:(?:\"application/ld\+json\"|'application/ld\+json')[^>]*"
+                 r"|application/ld\+json(?:\s[^>]*)?)>(.*?)</script\s*>")
+COMMENT = r"(?s)<!--.*?-->"
 ANCHOR_HREF = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
 
 LISTING_SCHEMA = ("array<struct<itemListElement: array<struct<item: struct<"
@@ -26,7 +27,7 @@ def _c(x: Column | str) -> Column:
 
 def first_jsonld(html: Column | str) -> Column:
     """Body of the first JSON-LD script block, NULL when there is none."""
-    body = F.regexp_extract(_c(html), JSONLD_SCRIPT, 1)
+    body = F.regexp_extract(F.regexp_replace(_c(html), COMMENT, ""), JSONLD_SCRIPT, 1)
     return F.when(F.trim(body) != "", body)
 
 

@@ -13,13 +13,21 @@ def _c(x: Column | str) -> Column:
 def capitalize(text: Column | str) -> Column:
     """First character upper, the rest lower (``str.capitalize``, not ``initcap``)."""
     c = _c(text)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2), F.length(c))))
 
 
 def day_token(ts: Column | str | None = None) -> Column:
-    """``yyyyMMdd`` of a timestamp (default: now) in the session zone (UTC)."""
+    """``yyyyMMdd`` in UTC, whatever the session zone (default: now).
+
+    A ``timestamp_ntz`` has no zone and is taken as it reads.
+    """
     c = F.current_timestamp() if ts is None else _c(ts)
-    return F.date_format(c, "yyyyMMdd")
+    # Seconds since the epoch as a zone-less date: no session zone is involved.
+    utc = F.date_add(F.lit("1970-01-01").cast("date"),
+                     F.floor(F.unix_micros(c.cast("timestamp")) / 86_400_000_000).cast("int"))
+    zoneless = F.typeof(c) == "timestamp_ntz"
+    return F.when(zoneless, F.date_format(c.cast("timestamp_ntz"), "yyyyMMdd")).otherwise(
+        F.date_format(utc, "yyyyMMdd"))
 
 
 def run_name(prefix: str, model_type: Column | str) -> Column:

@@ -108,3 +108,16 @@ def attach_latest(df: DataFrame, latest: DataFrame, on: Sequence[str]) -> DataFr
     small and splits skewed keys of the left side otherwise.
     """
     return df.join(latest, list(on), "left")
+
+
+def best_of_newest_job(trials: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Per make: the best completed trial of the newest search that completed one.
+
+    ``trials``: job, trial_id, model_type, status, created_at, rmse and ``values``.
+    A search is as new as its newest completed trial (ties: smallest job). Two
+    aggregates with map-side folding; the join is on (make, job), one row a make.
+    """
+    done = trials.filter(F.col("status") == "Completed")
+    newest = latest_per_key(done, ["model_type"], "created_at", "job", ["job"])
+    mine = done.join(newest, ["model_type", "job"], "left_semi")
+    return best_per_key(mine, ["model_type"], "rmse", "trial_id", ["job", "trial_id", "rmse", *values])

@@ -11,13 +11,16 @@ a handful of label values), so the plan deduplicates first:
    join stays a shuffle join with skew splitting.
 
 Each (combo, listing) pair is emitted once with the number of rows it stands
-for, instead of once per row: no group is expanded into all of its pairs.
+for, instead of once per row. A URL gives combos x listings rows, which stays
+small as long as ``carry`` holds label columns the URL is made of. The parsed
+pages are persisted, so reading both outputs parses a page once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +37,7 @@ def lookup_listings(rows: DataFrame, url: str, carry: Sequence[str],
     combos = rows.groupBy(url, *carry).agg(F.count(F.lit(1)).alias("n_lots"))
     wanted = combos.select(url).distinct()
     landed = pages.join(wanted.withColumnRenamed(url, "url"), "url", "left_semi")
-    parsed = parse_pages(landed)
+    parsed = parse_pages(landed).persist(StorageLevel.MEMORY_AND_DISK)   # both outputs read it
     prices = listing_prices(parsed).withColumnRenamed("url", url)
     # No hint and no driver-side count (a count would run the page parse twice):
     # AQE measures the listing stage once it is materialised and broadcasts it

@@ -22,9 +22,13 @@ def identity_hook(auction: DataFrame, crawl: DataFrame) -> DataFrame:
 
 def mean_price_hook(auction_keys: Sequence[str], crawl_keys: Sequence[str] | None = None,
                     price: str = "price", out: str = "mean_price",
-                    digits: int | None = None) -> Hook:
+                    digits: int | None = None, weight: str | None = None) -> Hook:
     """Left-join each auction row to the crawl's mean price for its key.
 
+    ``weight`` names the rows a crawl row stands for (``n_lots`` of a crawl
+    table): the mean is then that of one row per lot. Rows without a price
+    carry no weight.
+
     The crawl side is aggregated first (partial aggregation folds hot keys),
     so the join sees one row per key; AQE broadcasts it when it measures small.
     """
@@ -32,6 +36,9 @@ def mean_price_hook(auction_keys: Sequence[str], crawl_keys: Sequence[str] | Non
 
     def hook(auction: DataFrame, crawl: DataFrame) -> DataFrame:
         m = F.avg(F.col(price))
+        if weight is not None:
+            w = F.when(F.col(price).isNotNull(), F.col(weight))
+            m = F.sum(F.col(price) * w) / F.sum(w)
         if digits is not None:
             m = F.round(m, digits)
         agg = crawl.groupBy(*crawl_keys).agg(m.alias(out))

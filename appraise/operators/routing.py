@@ -2,7 +2,7 @@
 
 The routes table is configuration: one row per make. Its size is fixed by the
 configuration, never by the data, and is checked before it is broadcast. The
-match is ``contains(path, make || suffix)``, a theta condition, so the join runs
+match is ``contains(path, prefix || make || suffix)``, a theta condition, so the join runs
 as a broadcast nested loop over the (small) routes side while the paths stream.
 """
 
@@ -18,7 +18,7 @@ from appraise.functions.text import run_name
 # Makes, folder markers and run name prefixes of the triggers.
 MODEL_TYPES = ("toyota", "daihatsu")
 TRAINING_SUFFIX = "/lelang/"
-SCORING_SUFFIX = "/lelang/"
+SCORING_PREFIX, SCORING_SUFFIX = "batch-transform/", ""
 RESULT_MARKER = "/with_header/"
 TRAINING_RUN_PREFIX = "Training"
 SCORING_RUN_PREFIX = "BatchTransform"
@@ -27,17 +27,28 @@ MAX_ROUTES = 10_000
 
 
 def routes_table(spark: SparkSession, model_types: Sequence[str] = MODEL_TYPES,
-                 suffix: str = TRAINING_SUFFIX,
-                 run_prefix: str = TRAINING_RUN_PREFIX) -> DataFrame:
-    """(model_type, suffix, run_name) rows; the make -> run name lookup as a column."""
+                 suffix: str = TRAINING_SUFFIX, run_prefix: str = TRAINING_RUN_PREFIX,
+                 prefix: str = "") -> DataFrame:
+    """(model_type, prefix, suffix, run_name) rows; the make -> run name lookup as a column."""
     if len(model_types) > MAX_ROUTES:
         raise ValueError(f"{len(model_types)} routes exceed the broadcast bound {MAX_ROUTES}")
-    rows = [(m, suffix) for m in model_types]
-    return (spark.createDataFrame(rows, "model_type string, suffix string")
+    rows = [(m, prefix, suffix) for m in model_types]
+    return (spark.createDataFrame(rows, "model_type string, prefix string, suffix string")
             .withColumn("run_name", run_name(run_prefix, F.col("model_type"))))
 
 
+def scoring_routes(spark: SparkSession, model_types: Sequence[str] = MODEL_TYPES,
+                   prefix: str = SCORING_PREFIX) -> DataFrame:
+    """Routes of the scoring trigger: files under ``batch-transform/<make>``."""
+    return routes_table(spark, model_types, SCORING_SUFFIX, SCORING_RUN_PREFIX, prefix)
+
+
 def route_paths(paths: DataFrame, path_col: str, routes: DataFrame) -> DataFrame:
-    """Every (path, route) pair where the path holds ``model_type || suffix``."""
-    cond = F.col(path_col).contains(F.concat(F.col("model_type"), F.col("suffix")))
-    return paths.join(F.broadcast(routes), cond, "inner")
+    """Every (path, route) pair where the path holds ``prefix || model_type || suffix``.
+
+    Routes are configuration: at most ``MAX_ROUTES`` rows, checked before the broadcast.
+    """
+    if routes.limit(MAX_ROUTES + 1).count() > MAX_ROUTES:
+        raise ValueError(f"more than {MAX_ROUTES} routes: too many to broadcast")
+    cond = F.col(path_col).contains(F.concat(F.coalesce("prefix", F.lit("")), "model_type", "suffix"))
+    return paths.join(F.broadcast(routes), cond, "inner").drop("prefix", "suffix")

@@ -28,6 +28,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 # Split fractions and seeds of the training preparation.
 TEST_SIZE = 0.1
@@ -81,7 +82,7 @@ def split_fraction(df: DataFrame, key: str, test_size: float = TEST_SIZE,
                    seeds: Sequence[int] = TRAIN_SEEDS, out_col: str = "split",
                    how: str = "md5") -> DataFrame:
     """Approximate two-stage split as a single projection."""
-    h1, h2 = hash32(key, seeds[0], how), hash32(key, seeds[1], how)
+    h1, h2 = _null_safe(key, seeds[0], how), _null_safe(key, seeds[1], how)
     return df.withColumn(
         out_col,
         F.when(h1 < F.lit(fraction_threshold(test_size)), F.lit("test"))
@@ -91,26 +92,35 @@ def split_fraction(df: DataFrame, key: str, test_size: float = TEST_SIZE,
 
 @dataclass(frozen=True)
 class Cut:
-    """Rows with (h, key) <= (hash_value, key_value) are inside the quota.
+    """Rows with (h, key, row hash) up to the stated place are inside the quota.
 
     ``everything`` / ``nothing`` cover the quota = n and quota = 0 cases.
-    ``key_value`` None means every row with ``h == hash_value`` is inside.
+    ``key_value`` None means every row with ``h == hash_value`` is inside (null
+    keys are compared as their token). ``inner`` decides among the rows of the
+    boundary key itself, by a hash of the whole row.
     """
     hash_value: int | None = None
     key_value: object = None
     everything: bool = False
     nothing: bool = False
+    inner: Cut | None = None
 
-    def predicate(self, h: Column, key: Column) -> Column:
+    def predicate(self, h: Column, key: Column, row: Column | None = None) -> Column:
         if self.everything:
             return F.lit(True)
         if self.nothing:
             return F.lit(False)
-        below = h < F.lit(self.hash_value)
-        at = h == F.lit(self.hash_value)
+        below, at = h < F.lit(self.hash_value), h == F.lit(self.hash_value)
         if self.key_value is None:
             return below | at
-        return below | (at & (key <= F.lit(self.key_value)))
+        before = below | (at & (key < F.lit(self.key_value)))
+        edge = at & (key == F.lit(self.key_value))
+        return before | (edge if self.inner is None else edge & self.inner.predicate(row, F.lit(0), row))
+
+
+def key_token(key: str) -> Column:
+    """The key as text, null keys as an empty-key token of their own (sorts first)."""
+    return F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("?"))
 
 
 def _walk(hist: list[tuple[int, int]], quota: int) -> tuple[int, int, int]:
@@ -124,8 +134,9 @@ def _walk(hist: list[tuple[int, int]], quota: int) -> tuple[int, int, int]:
 
 
 def find_cut(df: DataFrame, h: str, key: str, quota: int, total: int | None = None,
-             top_hist: list[tuple[int, int]] | None = None) -> Cut:
-    """Locate the quota-th row in (h, key) order with bounded aggregations."""
+             top_hist: list[tuple[int, int]] | None = None, rows: DataFrame | None = None,
+             row: str = "__row") -> Cut:
+    """Locate the quota-th row in (h, key, row hash) order with bounded aggregations."""
     if quota <= 0:
         return Cut(nothing=True)
     if top_hist is None:
@@ -143,41 +154,70 @@ def find_cut(df: DataFrame, h: str, key: str, quota: int, total: int | None = No
     need = quota - before1 - before2
     if need == cnt2:
         return Cut(hash_value=hash_value)
-    # Ties on the full 32-bit hash: expected n / 2^32 rows, ordered by key.
-    tied = (df.filter(F.col(h) == F.lit(hash_value)).select(key)
-            .orderBy(F.col(key).asc()).limit(need).collect())
-    return Cut(hash_value=hash_value, key_value=tied[-1][0])
+    # Keys that share the full 32-bit hash (about n / 2^32 of them): one count each.
+    edge = df.filter(F.col(h) == F.lit(hash_value))
+    for value, count in sorted(tuple(r) for r in edge.groupBy(key).count().collect()):
+        if need <= count:
+            break
+        need -= count
+    if need == count:
+        return Cut(hash_value=hash_value, key_value=value)
+    if rows is None:
+        raise ValueError("rows that agree in every column are tied at the cut: give them a sequence number")
+    # The boundary key repeats: its rows are cut by a hash of the whole row.
+    inner = find_cut(rows.filter((F.col(h) == F.lit(hash_value)) & (F.col(key) == F.lit(value))), row, row, need)
+    return Cut(hash_value=hash_value, key_value=value, inner=inner)
 
 
 def split_exact(df: DataFrame, key: str, test_size: float = TEST_SIZE,
                 validation_size: float = VALIDATION_SIZE,
                 seeds: Sequence[int] = TRAIN_SEEDS, out_col: str = "split",
                 how: str = "md5") -> DataFrame:
-    """Exact-size two-stage split; ``key`` must identify rows uniquely."""
-    h1c, h2c = "__h1", "__h2"
-    # The cut search scans the hashed keys up to five times: keep them (only the
-    # key column and two longs) instead of recomputing md5 on every pass. Lost
-    # blocks are recomputed from the scan.
-    keyed = df.select(F.col(key), hash32(key, seeds[0], how).alias(h1c),
-                      hash32(key, seeds[1], how).alias(h2c)).persist(StorageLevel.MEMORY_AND_DISK)
+    """Exact-size two-stage split by (hash of the key, key, hash of the row).
+
+    Keys may repeat or be null (null keys hash as a token of their own); rows of
+    one key stay together except at the two cuts, where a hash of the whole row
+    decides. Rows equal in every column that are tied at a cut are an error.
+    """
+    h1c, h2c, rc, kc = "__h1", "__h2", "__row", "__key"
+    row = F.xxhash64(F.lit(seeds[0]), *[F.col(f"`{c}`") for c in df.columns]).bitwiseAND(F.lit(0xFFFFFFFF))
+    h1, h2, token = _null_safe(key, seeds[0], how), _null_safe(key, seeds[1], how), _ordered(df, key)
+    # The cut search scans the hashed keys several times: keep them (the key and
+    # two longs) instead of recomputing md5 on every pass. Lost blocks are
+    # recomputed from the scan. Whole rows are hashed only where a cut falls
+    # inside one key.
+    rows = df.select(token.alias(kc), h1.alias(h1c), h2.alias(h2c), row.alias(rc))
+    keyed = rows.select(kc, h1c, h2c).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         top1 = sorted(tuple(r) for r in keyed.groupBy(F.shiftright(F.col(h1c), 16).alias("b"))
                       .count().collect())
         n = sum(c for _, c in top1)
         _, n_val, n_test = split_quotas(n, test_size, validation_size)
-        cut1 = find_cut(keyed, h1c, key, n_test, n, top1)
-        rest = keyed.filter(~cut1.predicate(F.col(h1c), F.col(key)))
-        cut2 = find_cut(rest, h2c, key, n_val, n - n_test)
+        cut1 = find_cut(keyed, h1c, kc, n_test, n, top1, rows)
+        late = ~cut1.predicate(F.col(h1c), F.col(kc), F.col(rc))
+        rest = (keyed if cut1.inner is None else rows).filter(late)
+        cut2 = find_cut(rest, h2c, kc, n_val, n - n_test, None, rows.filter(late))
     finally:
         keyed.unpersist()
-    h1, h2, k = hash32(key, seeds[0], how), hash32(key, seeds[1], how), F.col(key)
     return df.withColumn(
         out_col,
-        F.when(cut1.predicate(h1, k), F.lit("test"))
-        .when(cut2.predicate(h2, k), F.lit("validation"))
+        F.when(cut1.predicate(h1, token, row), F.lit("test"))
+        .when(cut2.predicate(h2, token, row), F.lit("validation"))
         .otherwise(F.lit("train")))
 
 
+def _null_safe(key: str, seed: int, how: str) -> Column:
+    """The key's hash; a null key hashes as the seed's empty token."""
+    return F.coalesce(hash32(key, seed, how), F.lit(seed).cast("long"))
+
+
+def _ordered(df: DataFrame, key: str) -> Column:
+    """The key in its own order where it is a number, else as text; nulls first."""
+    if isinstance(df.schema[key].dataType, IntegralType):
+        return F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
+    return key_token(key)
+
+
 def split_exact_sql(table: str, key: str, test_size: float = TEST_SIZE,
                     validation_size: float = VALIDATION_SIZE,
                     seeds: Sequence[int] = TRAIN_SEEDS) -> str:

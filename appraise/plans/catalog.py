@@ -13,6 +13,7 @@ PLAN_MODULES = (
     "appraise.plans.files",
     "appraise.plans.model",
     "appraise.plans.streams",
+    "appraise.plans.branches",
 )
 
 

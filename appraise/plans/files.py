@@ -17,7 +17,7 @@ from appraise.operators.split import (TEST_SIZE, TRAIN_SEEDS, VALIDATION_SIZE,
                                       fraction_threshold, hash32_sql, split_fraction)
 from appraise.plans.registry import query
 from appraise.session import scratch_path
-from appraise.sources.files import (latest_file, list_objects, read_csv, read_splits,
+from appraise.sources.files import (latest_file, read_csv, read_splits, write_csv,
                                     write_dated, write_splits)
 from appraise.sources.tables import read_table
 from appraise.sources.workbook import read_workbooks, write_workbooks
@@ -68,14 +68,34 @@ def csv_headerless(spark: SparkSession, base: str) -> DataFrame:
     return read_splits(spark, path, TRAIN_COLS, "toyota", RUN_DATE)
 
 
-@query("latest_file")
+_LISTING_SQL = """SELECT 'lots/' || event_type || '/' || event_id || CASE event_id % 3 WHEN 0 THEN '.xlsx' WHEN 1 THEN '.csv' ELSE '.txt' END AS path, ts AS t FROM events"""
+
+
+@query("latest_file", sql=f"""
+SELECT path FROM ({_LISTING_SQL}) l WHERE path LIKE '%.csv' AND t IS NOT NULL ORDER BY t DESC, path LIMIT 1""")
 def latest_file_q(spark: SparkSession, base: str) -> DataFrame:
-    """Newest CSV in a listing (else newest XLSX); written per listing type."""
-    part = read_table(spark, base, "part")
-    path = scratch_path(spark, "listing")
-    part.write.partitionBy("p_type").option("header", True).csv(path)
-    newest = latest_file(list_objects(spark, f"{path}/*/*"))
-    return spark.createDataFrame([(newest,)], "path string")
+    """Newest CSV of a listing (XLSX only where there is no CSV, other kinds never)."""
+    e = read_table(spark, base, "events")
+    kind = F.when(F.col("event_id") % 3 == 0, ".xlsx").when(F.col("event_id") % 3 == 1, ".csv").otherwise(".txt")
+    listing = e.select(F.concat(F.lit("lots/"), "event_type", F.lit("/"), F.col("event_id").cast("string"),
+                                kind).alias("path"), F.col("ts").alias("modificationTime"))
+    return spark.createDataFrame([(latest_file(listing),)], "path string")
+
+
+@query("csv_text_roundtrip", sql="""
+SELECT doc_id, nullif(text, '') AS text, lang FROM documents
+UNION ALL SELECT -1 - doc_id, '"' || substr(text, 1, 40) || '", "a;b"', lang FROM documents""")
+def csv_text_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """Whole texts with newlines, quotes and separators written as CSV and read back.
+
+    An empty text is written as a quoted empty field and reads back as null.
+    """
+    d = read_table(spark, base, "documents").select("doc_id", "text", "lang")
+    quoted = F.concat(F.lit('"'), F.substring("text", 1, 40), F.lit('", "a;b"'))
+    both = d.unionByName(d.select((-1 - F.col("doc_id")).alias("doc_id"), quoted.alias("text"), "lang"))
+    path = scratch_path(spark, "csv-text")
+    write_csv(both, path)
+    return read_csv(spark, path, "doc_id bigint, text string, lang string", multiline=True)
 
 
 @query("zip_join", sql="""
@@ -150,5 +170,5 @@ def workbook_scan(spark: SparkSession, base: str) -> DataFrame:
     """Listings written as several XLSX workbooks and scanned back in parallel."""
     part = read_table(spark, base, "part")
     path = scratch_path(spark, "workbooks")
-    write_workbooks(part.repartition(4, "p_partkey"), path)
+    write_workbooks(part, path)
     return read_workbooks(spark, path, PART_SCHEMA)

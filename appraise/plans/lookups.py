@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appraise.functions import text, uri
-from appraise.operators.columns import first_and_last, first_n, shape, target_first
-from appraise.operators.latest import (attach_latest, best_per_key, latest_one,
+from appraise.operators.columns import column_slice, first_and_last, first_n, shape, target_first
+from appraise.operators.latest import (attach_latest, best_of_newest_job, best_per_key, latest_one,
                                        latest_per_key, latest_with_fallback, top_k)
 from appraise.operators.routing import route_paths, routes_table
 from appraise.plans.registry import query
 from appraise.sources.registry import models_from_events, trials_from_events
 from appraise.sources.tables import read_table
+from appraise.streaming.events import joined_paths
+
+KEY_SQL = "regexp_extract(url, '(?s)^[^/]*/[^/]*/[^/]*/(.*)$', 1)"
 
 
 def _pages(spark, base):
@@ -156,7 +159,7 @@ def latest_model(spark: SparkSession, base: str) -> DataFrame:
 
 _TRIALS_SQL = """
   SELECT 'HPO-' || upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) || '-'
-           || CAST(event_id AS VARCHAR) AS job,
+           || CAST(event_id // 100 AS VARCHAR) AS job, ts AS created_at,
          event_id AS trial_id, event_type AS model_type,
          CASE WHEN event_type = 'error' THEN 'Failed' ELSE 'Completed' END AS status,
          value AS rmse, props
@@ -201,6 +204,16 @@ def route_paths_q(spark: SparkSession, base: str) -> DataFrame:
         .select("page_id", "url", "model_type", "run_name")
 
 
+@query("day_token_utc", sql="""
+SELECT event_id, strftime(ts, '%Y%m%d') AS ntz_day,
+       strftime(to_timestamp(event_id * 40000) AT TIME ZONE 'UTC', '%Y%m%d') AS utc_day FROM events""")
+def day_token_utc(spark: SparkSession, base: str) -> DataFrame:
+    """UTC day tokens of zoned and of zone-less timestamps."""
+    e = read_table(spark, base, "events")
+    return e.select("event_id", text.day_token("ts").alias("ntz_day"),
+                    text.day_token(F.timestamp_seconds(F.col("event_id") * 40000)).alias("utc_day"))
+
+
 @query("target_first", sql="""
 SELECT l_extendedprice, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
        l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem""")
@@ -209,12 +222,18 @@ def target_first_q(spark: SparkSession, base: str) -> DataFrame:
     return target_first(read_table(spark, base, "lineitem"), "l_extendedprice")
 
 
-@query("column_slice", sql="SELECT p_partkey, p_retailprice FROM part")
-def column_slice_q(spark: SparkSession, base: str) -> DataFrame:
+@query("first_and_last", sql="SELECT p_partkey, p_retailprice FROM part")
+def first_and_last_q(spark: SparkSession, base: str) -> DataFrame:
     """First and last column by position."""
     return first_and_last(read_table(spark, base, "part"))
 
 
+@query("column_slice", sql="SELECT p_name, p_brand, p_type, p_size, p_retailprice FROM part")
+def column_slice_q(spark: SparkSession, base: str) -> DataFrame:
+    """Columns from the second to the last by position."""
+    return column_slice(read_table(spark, base, "part"), 1)
+
+
 @query("first_n", sql="SELECT * FROM part ORDER BY p_partkey LIMIT 11")
 def first_n_q(spark: SparkSession, base: str) -> DataFrame:
     """The first 11 listings in key order (the debug cap of the crawl)."""
@@ -235,12 +254,29 @@ def shape_q(spark: SparkSession, base: str) -> DataFrame:
     return out
 
 
-@query("paths_joined", sql="""
-SELECT l_orderkey, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY CAST(l_linenumber AS VARCHAR)) AS lines
-FROM lineitem GROUP BY l_orderkey""")
+@query("paths_joined", sql=f"""
+SELECT string_agg('s3://' || split_part(url, '/', 3) || '/' || {KEY_SQL}, ',' ORDER BY n) AS paths
+FROM (SELECT page_id, url, 0 AS n FROM pages UNION ALL SELECT page_id, replace(url, 'example', 'copy'), 1 FROM pages)
+GROUP BY page_id""")
 def paths_joined(spark: SparkSession, base: str) -> DataFrame:
-    """Comma-joined, sorted member list per order (an order holds at most 7 lines)."""
-    li = read_table(spark, base, "lineitem")
-    return li.groupBy("l_orderkey").agg(
-        F.array_join(F.sort_array(F.collect_list(F.col("l_linenumber").cast("string"))), ",")
-        .alias("lines"))
+    """Per notification (a page and its copy), the record paths joined in record order."""
+    def record(url):
+        return F.struct(F.struct(F.struct(uri.bucket(url).alias("name")).alias("bucket"),
+                                 F.struct(uri.key(url).alias("key")).alias("object")).alias("s3"))
+    pages = _pages(spark, base).withColumn("copy", F.replace("url", F.lit("example"), F.lit("copy")))
+    return joined_paths(pages.select(F.array(record("url"), record("copy")).alias("Records")))
+
+
+@query("newest_job_params", sql=f"""
+WITH t AS (SELECT * FROM ({_TRIALS_SQL}) x WHERE status = 'Completed'),
+j AS (SELECT model_type, job FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_type ORDER BY created_at DESC, job) AS rn
+  FROM t WHERE created_at IS NOT NULL) WHERE rn = 1)
+SELECT model_type, job, trial_id, rmse, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM (
+  SELECT t.*, row_number() OVER (PARTITION BY t.model_type ORDER BY rmse, trial_id) AS rn
+  FROM t JOIN j USING (model_type, job) WHERE rmse IS NOT NULL) WHERE rn = 1""")
+def newest_job_params(spark: SparkSession, base: str) -> DataFrame:
+    """Per make: the newest completed search, its best trial (older searches may hold a lower RMSE)."""
+    trials = trials_from_events(read_table(spark, base, "events"))
+    return best_of_newest_job(trials, ["params"]).select(
+        "model_type", "job", "trial_id", "rmse", F.col("params").getItem("k").cast("int").alias("k"))

@@ -1,7 +1,7 @@
 """Streaming queries: route arriving files and notify on results.
 
 Notification files are derived from the landed pages (one record per page,
-one notification per JSON line, spread over several files), dropped into an
+one notification per JSON line), dropped into an
 incoming folder under the shared checkpoint folder, and consumed by a file
 stream with ``availableNow``. The result is read back from the exactly-once
 sink.
@@ -24,8 +24,6 @@ from appraise.streaming.events import (attach_companion, notification_rows, reco
                                        run_requests, stream_notifications)
 from appraise.streaming.sinks import run_available
 
-N_FILES = 4
-
 
 def land_notifications(spark: SparkSession, base: str) -> str:
     """Write one notification per page as JSON lines into a fresh incoming folder."""
@@ -36,7 +34,7 @@ def land_notifications(spark: SparkSession, base: str) -> str:
                  F.struct(F.col("key").alias("key")).alias("object")).alias("s3"))
     path = scratch_path(spark, "incoming")
     (recs.select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("value"))
-     .repartition(N_FILES).write.text(path))
+     .write.text(path))
     return path
 
 

@@ -2,8 +2,8 @@
 
 Everything that must outlive one task (split scratch, round-trip files, stream
 checkpoints, lineage cuts) goes under the folder the cluster names in
-``spark.checkpoint.dir``. A machine-local temporary folder is only created when
-that setting is absent, which is the case in local tests.
+``spark.checkpoint.dir``. A temporary folder is made only on a ``local`` master
+without that setting, as in tests; on any other master its absence is an error.
 """
 
 from __future__ import annotations
@@ -62,7 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when nothing is configured (local tests / single machine).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="appraise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

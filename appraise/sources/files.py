@@ -22,24 +22,39 @@ AUCTION_SUFFIXES = (".csv", ".xlsx")
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | StructType,
-             sep: str = ",", header: bool = True, by_name: bool = True) -> DataFrame:
+             sep: str = ",", header: bool = True, by_name: bool = True,
+             multiline: bool = False) -> DataFrame:
     """Header (or headerless) delimited text with a declared schema.
 
-    With a header, declared columns are matched by *name* (a feed whose columns
-    come in another order is still read right) and cast JVM-side; a missing
-    column fails. Headerless files are positional.
+    Quotes inside fields are doubled, as other CSV writers do. With a header,
+    declared columns are matched by *name* and cast JVM-side; a missing column
+    fails, and so does a file whose header differs from the first file's (it is
+    never read under the wrong names). Headerless files are positional.
+    ``multiline`` allows newlines inside fields; such files are not split, so
+    keep them small.
     """
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    reader = spark.read.option("sep", sep).option("mode", "FAILFAST")
+
+    def reader():
+        return (spark.read.option("sep", sep).option("mode", "FAILFAST").option("escape", '"')
+                .option("multiLine", multiline))
+
     if not (header and by_name):
-        return reader.schema(st).option("header", header).csv(path)
-    raw = reader.option("header", True).option("inferSchema", False).csv(path)
-    missing = [f.name for f in st.fields if f.name not in raw.columns]
+        return reader().schema(st).option("header", header).csv(path)
+    names = reader().option("header", True).option("inferSchema", False).csv(path)
+    missing = [f.name for f in st.fields if f.name not in names.columns]
     if missing:
         raise ValueError(f"columns {missing} missing from {path}")
+    files = StructType([f for f in names.schema.fields if f.name in _file_columns(names)])
+    raw = reader().schema(files).option("header", True).option("enforceSchema", False).csv(path)
     return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in st.fields])
 
 
+def _file_columns(df: DataFrame) -> set[str]:
+    """Columns held in the files themselves: partition folders come back typed, file text as strings."""
+    return {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
+
+
 def read_headerless(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:
     """Positional columns named by the declared schema (e.g. ``prediksi DOUBLE``)."""
     return read_csv(spark, path, schema, header=False)
@@ -51,7 +66,8 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
     # Per-write option: only this write replaces partitions dynamically; the
     # session setting seen by other writes is left alone.
     w = (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-         .option("header", header).option("sep", sep))
+         .option("header", header).option("sep", sep).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

@@ -1,7 +1,7 @@
 """Model and tuning registries as plain Parquet tables.
 
 models: name, model_type, created_at, path, params MAP<STRING,STRING>, rmse
-trials: job, trial_id, model_type, status, created_at, rmse, params MAP<STRING,STRING>
+trials: job (one id per search), trial_id, model_type, status, created_at, rmse, params MAP<STRING,STRING>
 
 Registering appends one row; "newest model" and "best parameters" are reads
 with a filter and a per-key ``min_by`` (see ``operators.latest``).
@@ -66,10 +66,10 @@ def models_from_events(events: DataFrame) -> DataFrame:
 
 
 def trials_from_events(events: DataFrame) -> DataFrame:
-    """Trial stand-in: one trial per event; ``value`` is its validation RMSE."""
+    """Trial stand-in: one trial per event, a search per 100 ids; ``value`` is its validation RMSE."""
     return events.select(
         F.concat(F.lit("HPO-"), capitalize("event_type"), F.lit("-"),
-                 F.col("event_id").cast("string")).alias("job"),
+                 F.floor(F.col("event_id") / 100).cast("string")).alias("job"),
         F.col("event_id").alias("trial_id"), F.col("event_type").alias("model_type"),
         F.when(F.col("event_type") == "error", F.lit("Failed")).otherwise(F.lit("Completed"))
         .alias("status"),

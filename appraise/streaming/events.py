@@ -27,13 +27,11 @@ from appraise.operators.routing import RESULT_MARKER, route_paths
 NOTIFICATION_SCHEMA = ("Records array<struct<eventTime: string, eventName: string, "
                        "s3: struct<bucket: struct<name: string>, object: struct<key: string>>>>")
 
-# Message texts of the result notification.
 SUBJECT = "Prediction results"
-BODY_HEAD = ("<!DOCTYPE html><html><body><p>Hi Team!<br><br>"
-             "This email is to notify you regarding <b>")
-BODY_AT = "</b> event at <b>"
-BODY_STORED = "</b>. There is a new prediction stored on <b>"
-BODY_TAIL = "</b>. Here I attach the file.<br><br>Thanks</p></body></html>"
+BODY_HEAD = "<html><body><p>New scoring output: <b>"
+BODY_AT = "</b>, received at "
+BODY_STORED = ".</p><p>Location: "
+BODY_TAIL = "</p></body></html>"
 
 
 def records(notifications: DataFrame) -> DataFrame:

@@ -30,14 +30,24 @@ def start_available(stream: DataFrame, sink_path: str, checkpoint: str,
     return w.start()
 
 
-def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
-                  timeout_s: int = 600) -> int:
-    """Start, wait until the available input is done; return the number of batches."""
-    q = start_available(stream, sink_path, checkpoint, fmt)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish the available input in time")
+def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet") -> int:
+    """Start, wait until the available input is done; return the number of batches written.
+
+    An empty folder of the stream's schema is written first, so an input without
+    any file still reads back as zero rows.
+    """
+    spark = stream.sparkSession
+    done: list[int] = []
+    spark.createDataFrame([], stream.schema).write.mode("append").format(fmt).save(f"{sink_path}/batch_id=-1")
+    write = idempotent_writer(sink_path, fmt)
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        done.append(batch_id)
+
+    q = (stream.writeStream.foreachBatch(counted).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0])
+    return len(set(done))

@@ -8,7 +8,10 @@ from conftest import SMALL
 FAST = ["appraisal_report", "label_keywords", "split_exact", "eval_report", "uri_prefix",
         "latest_by_key", "latest_with_fallback", "best_params", "route_paths", "page_links",
         "jsonld_misses", "jsonld_prices", "page_lookup", "zip_join", "hook_price_join",
-        "notify_messages", "paths_joined"]
+        "notify_messages", "paths_joined", "label_branches", "prefix_levels", "miss_reasons",
+        "crawl_mean_price", "split_exact_repeated", "stream_training_requests",
+        "stream_scoring_requests", "csv_text_roundtrip", "latest_file", "newest_job_params",
+        "day_token_utc", "column_slice"]
 
 
 def test_entry_runs(spark):

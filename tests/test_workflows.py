@@ -70,8 +70,8 @@ def test_tuned_params_from_trials(spark):
     now = dt.datetime(2024, 1, 1)
     trials = spark.createDataFrame([
         ("j1", 1, "toyota", "Completed", now, 5.0, {"max_depth": "4", "eta": "0.2"}),
-        ("j2", 2, "toyota", "Completed", now, 3.0, {"max_depth": "8", "num_round": "120"}),
-        ("j3", 3, "toyota", "Failed", now, 1.0, {"max_depth": "9"}),
+        ("j1", 2, "toyota", "Completed", now, 3.0, {"max_depth": "8", "num_round": "120"}),
+        ("j1", 3, "toyota", "Failed", now, 1.0, {"max_depth": "9"}),
         ("j4", 4, "daihatsu", "Completed", now, 0.5, {"max_depth": "3"})], TRIALS_SCHEMA)
     p = tuned_params(trials, "toyota")
     assert (p.max_depth, p.num_round, p.eta) == (8, 120, 0.1)
