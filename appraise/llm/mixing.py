@@ -150,8 +150,8 @@ def mix(docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str
             tier = max(0, min(len(costs) - 1, int(at // size) if at % size else int(at // size) - 1))
             cuts.append((p, row["_members"], names[q], tier, at - tier * size))
     cut_rows = spark.createDataFrame(cuts, "p int, _members array<string>, route string, tier int, amount double")
-    hist = base.join(cut_rows.select("_members").distinct(), "_members", "left_semi").groupBy(
-        "_members", "_b").agg(F.sum("size").alias("n"))
+    # Cut: else the sums would be dealt by pattern alone, for the running sums' sake.
+    hist = cut(base.groupBy("_members", "_b").agg(F.sum("size").alias("n")), "hist")
     run = Window.partitionBy("_members").orderBy("_b")
     hist = hist.withColumn("upto", F.sum("n").over(run.rowsBetween(Window.unboundedPreceding, 0)))
     hist = hist.withColumn("before", F.col("upto") - F.col("n"))
@@ -162,7 +162,8 @@ def mix(docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str
                              (F.col("amount") - F.col("x.before")).alias("rest"), "route").alias("c"))
     per_pattern = cut(found.groupBy("_members").agg(F.array_sort(F.collect_list("c")).alias("_cuts")), "cuts")
 
-    placed = base.join(per_pattern, "_members", "left")
+    # One row per pattern, MAX_PATTERNS at most: safe to broadcast, and no pattern's documents meet in a task.
+    placed = base.join(F.broadcast(per_pattern), "_members", "left")
     in_cut = F.exists(F.coalesce("_cuts", F.array().cast("array<struct<tier:int,amount:double,b:int,rest:double,route:string>>")),
                       lambda c: c["b"] == F.col("_b"))
     order = Window.partitionBy("_members", "_b").orderBy("_h", "_id", "_th").rowsBetween(
