@@ -4,9 +4,10 @@ Documents become token ids; their hashed token vectors are projected to a few
 dimensions and the Hilbert key of the projected point orders the table. A
 document's full-length pieces are sequences by themselves; what remains of it
 is packed with the remainders of its neighbours along the curve. A range of the
-curve is one task, which packs without gaps: remainders are laid end to end and
-cut at the sequence length, and the last ones of a range are cut at powers of
-two, so no sequence needs padding beyond its own length.
+curve is one task, which packs without gaps while its rows stream through:
+remainders are laid end to end and cut at the sequence length, and the last ones
+of a range are cut at powers of two, so no sequence needs padding beyond its own
+length.
 
 Ids are those of the tokenizer file ``byte_bpe_50k.json``; the same vocabulary
 as ranks (``byte_bpe_50k.tiktoken``) gives the same ids several times faster and
@@ -130,35 +131,47 @@ def _tail_ids(tail: bytes, n: int) -> np.ndarray:
     return np.frombuffer(tail, "<u2" if len(tail) == 2 * n else "<u4").astype("<u4")
 
 
-def _sizes(left: int, length: int):
-    """Sequence lengths that hold ``left`` more ids without padding: full ones, then powers of two."""
-    while left:
-        size = length if left >= length else 1 << (left.bit_length() - 1)
-        yield size
-        left -= size
+def _cut_open(held: list[tuple], left: int, seq: int):
+    """Pieces of the last remainders of a range, laid into sequences of powers of two: no padding."""
+    room, at = 0, 0
+    for doc, n, start, ids in held:
+        done = 0
+        while done < len(ids):
+            if at == room:
+                room, at, seq = 1 << (left.bit_length() - 1), 0, seq + 1
+                left -= room
+            take = min(room - at, len(ids) - done)
+            yield doc, start + done, take, zlib.crc32(ids[done:done + take].tobytes()), n, seq, at
+            done, at = done + take, at + take
+
 
+def pack_range(rows, length: int, first: int):
+    """Pieces of one range of the curve; rows are (id, n, crcs, tail) in curve order.
 
-def pack_range(rows: list[tuple], length: int, first: int):
-    """Pieces of one range of the curve; rows are (id, n, crcs, tail) in curve order."""
-    seq, tails = first, []
+    Rows stream through: only the remainders of the open sequence, under
+    ``length`` ids, are held, since its own length is known when the range ends.
+    """
+    seq, held, size = first, [], 0
     for doc, n, crcs, tail in rows:
         for i, crc in enumerate(crcs):
             yield doc, i * length, length, crc, n, seq, 0
             seq += 1
-        rest = n - len(crcs) * length
-        if rest:
-            tails.append((doc, n, len(crcs) * length, _tail_ids(tail, rest)))
-    room, at, left = 0, 0, sum(len(t[3]) for t in tails)
-    sizes = _sizes(left, length)
-    seq -= 1
-    for doc, n, start, ids in tails:
-        done = 0
-        while done < len(ids):
-            if at == room:
-                room, at, seq = next(sizes), 0, seq + 1
-            take = min(room - at, len(ids) - done)
-            yield (doc, start + done, take, zlib.crc32(ids[done:done + take].tobytes()), n, seq, at)
-            done, at = done + take, at + take
+        start = len(crcs) * length
+        if start == n:
+            continue
+        ids = _tail_ids(tail, n - start)
+        take = min(length - size, len(ids))
+        held.append((doc, n, start, ids[:take]))
+        size += take
+        if size == length:
+            at = 0
+            for d, m, s, part in held:
+                yield d, s, len(part), zlib.crc32(part.tobytes()), m, seq, at
+                at += len(part)
+            seq += 1
+            held = [(doc, n, start + take, ids[take:])] if take < len(ids) else []
+            size = len(ids) - take
+    yield from _cut_open(held, size, seq - 1)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -172,12 +185,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     spark, ranks = docs.sparkSession, ranks or default_ranks()
     tokens = cut(docs.select(id_of(id_col).alias("_id"), text_of(text_col).alias("_text"))
                  .mapInArrow(_tokenise(ranks, length), TOKENS_DDL), "tokens")
-    ordered = tokens.repartitionByRange(ranges or 2 * shuffle_width(spark), "_key", "_id",
-                                        F.xxhash64("_tail")).sortWithinPartitions("_key", "_id")
+    order = ("_key", "_id", F.xxhash64("_tail"), "_n")     # whole: a task that runs again packs alike
+    ordered = tokens.repartitionByRange(ranges or 2 * shuffle_width(spark), *order).sortWithinPartitions(*order)
 
     def run(batches):
-        # Remainders are held until the range ends: two bytes an id, under one sequence a document.
-        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("_id", "_n", "_crcs", "_tail")))]
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("_id", "_n", "_crcs", "_tail"))))
         buffer = []
         for piece in pack_range(rows, length, TaskContext.get().partitionId() << 40):
             buffer.append(piece)
