@@ -1,11 +1,16 @@
 """Substring deduplication of words by level-wise doubling.
 
-Windows start at 5 words: seeds (see ``passages``) that occur once are dropped.
-Only documents with repeated seeds go on, only regions whose seed has different
-regions are looked at word by word: windows of 10 words that repeat at their
-offset from the seed are extended to 20, and those that repeat again are grouped
-by their words; all but the earliest window of a group remove their words. A
-level without candidates ends the search.
+Windows start at 5 words: seeds (see ``passages``) that occur once are dropped,
+and only regions whose seed has different regions go on. Each is extended to the
+10 words that all its windows share (after the seed, or around it for the
+windows that end early); those that occur once are dropped by a count with
+map-side sums and a semi join. The survivors' windows are extended to 20 words
+and meet by a 128-bit hash of them; all but the earliest window of a group
+remove their words. A level without candidates leaves nothing to the next.
+
+No level keeps a group together in memory: a 5- or 10-word run that a third of
+all documents share only costs counts, and of a repeated 20-word window one row
+a task and flush crosses the last exchange as its first, the others as settled.
 
 Null texts and texts without words have nothing removed. Repeated rows (same id,
 same text) start at the same place, so neither is earlier than the other. Null
@@ -15,13 +20,14 @@ ids sort first. Empty tables give empty results; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appraise.llm import passages as P
-from appraise.llm.common import batch_of, binary_rows, cut, documents, keyed, real_id, shuffle_width
+from appraise.llm.common import batch_of, binary_rows, cut, documents, keyed, real_id
 
 LENGTH = 20
 FIRST = 5
@@ -47,9 +53,26 @@ MID = pa.schema([
     ("kind", pa.int32()), ("_id", pa.int64()), ("_th", pa.int64()), ("text", pa.binary()),
     ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())),
     ("n", pa.int64()), ("removed", pa.int64()), ("sha", pa.string()),
-    ("cls", pa.int64()), ("body", pa.binary()), ("lo", pa.int64()), ("info", pa.int32())])
+    ("run", pa.int64()), ("body", pa.binary()), ("lo", pa.int64())])
 MID_DDL = ("kind int, _id long, _th long, text binary, starts array<long>, ends array<long>, n long, "
-           "removed long, sha string, cls long, body binary, lo long, info int")
+           "removed long, sha string, run long, body binary, lo long")
+
+
+def _hash(words: list[bytes]) -> int:
+    return int.from_bytes(hashlib.blake2b(b" ".join(words), digest_size=8).digest(), "big", signed=True)
+
+
+def doubled(words: list[bytes], lo: int, most: int, least: int, length: int, first: int):
+    """(hash of a run twice as long as the seed, first window, words) of a region's windows.
+
+    Windows that end far enough behind the seed share the run that starts with
+    it; the others start early enough to share the run that ends with it. The
+    run's place in the window is told from its offset, which the hash includes.
+    """
+    at, size = lo + most, 2 * first
+    for a, b, start in ((least, min(most, length - size), at), (max(least, length - size + 1), most, at + first - size)):
+        if a <= b:
+            yield _hash(words[start:start + size]) ^ (start - at), at - b, b" ".join(words[at - b:at - a + length])
 
 
 def cut_out(words: list[bytes], starts, ends) -> tuple[int, str]:
@@ -75,11 +98,8 @@ def _regions(length: int, first: int):
                     if status != P.ASK:
                         continue
                     asked = True
-                    at = lo + most
-                    seed = b" ".join(words[at:at + first])
-                    rows.append({"kind": REGION, "_id": doc, "_th": th, "lo": lo, "info": least << 8 | most,
-                                 "cls": int.from_bytes(hashlib.blake2b(seed, digest_size=8).digest(), "big", signed=True),
-                                 "body": b" ".join(words[lo:at - least + length])})
+                    rows += [{"kind": REGION, "_id": doc, "_th": th, "run": h, "lo": start, "body": body}
+                             for h, start, body in doubled(words, lo, most, least, length, first)]
                 row = {"kind": WAITING if asked else RESULT, "_id": doc, "_th": th, "n": len(words)}
                 if asked:
                     row |= {"text": text, "starts": starts.tolist(), "ends": ends.tolist()}
@@ -90,102 +110,86 @@ def _regions(length: int, first: int):
     return run
 
 
-def _repeats(*keys: np.ndarray) -> np.ndarray:
-    """Which rows share all keys with another row."""
-    order = np.lexsort(keys)
-    new = np.zeros(len(order), bool)
-    for k in keys:
-        new[1:] |= k[order][1:] != k[order][:-1]
-    new[:1] = True
-    run = np.cumsum(new) - 1
-    out = np.zeros(len(order), bool)
-    out[order] = np.bincount(run)[run] > 1
-    return out
-
-
-def later_windows(cls: np.ndarray, bodies: list[bytes], doc: np.ndarray, lo: np.ndarray,
-                  most: np.ndarray, least: np.ndarray, length: int, first: int):
-    """(entry, window start) of windows whose words also start earlier, by doubling levels."""
-    words = [b.split() for b in bodies]
-    sizes = np.array([len(w) for w in words], np.int64)
-    base = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-    symbols = word_symbols(b" ".join(bodies))
-    # Every window of the entries: its entry and its offset to the seed.
-    count = most - least + 1
-    entry = np.repeat(np.arange(len(bodies)), count)
-    nth = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count)
-    at, offset = base[entry] + nth, most[entry] - nth
-    size = first
-    while size < length and len(at):
-        size = min(2 * size, length)
-        grams = P.gram_hashes(symbols, size)
-        alive = np.ones(len(at), bool)
-        for step in sorted({*range(0, length - size + 1, size), length - size}):
-            alive &= _repeats(cls[entry], offset, grams[at + step].view(np.int64))
-        entry, at, offset, nth = entry[alive], at[alive], offset[alive], nth[alive]
-    best: dict[bytes, tuple[int, int]] = {}
-    names, place = [], []
-    for i, j in zip(entry.tolist(), nth.tolist()):
-        name = b" ".join(words[i][j:j + length])
-        spot = (int(doc[i]), int(lo[i]) + j)
-        names.append(name)
-        place.append(spot)
-        if name not in best or spot < best[name]:
-            best[name] = spot
-    late = np.array([best[n] < p for n, p in zip(names, place)], bool)
-    return entry[late], lo[entry[late]] + nth[late]
-
-
-SPANS = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
-CHUNK = 20_000              # entries compared at a time, whole classes
-
-
-def _compare(length: int, first: int):
-    """Rows sorted by class; classes are compared in chunks, never split."""
-    def run(batches):
-        held, n = [], 0
+WINDOWS = pa.schema([("h", pa.int64()), ("h2", pa.int64()), ("_id", pa.int64()), ("_th", pa.int64()),
+                     ("s", pa.int64()), ("late", pa.bool_())])
+WINDOWS_DDL = "h long, h2 long, _id long, _th long, s long, late boolean"
+LATE = pa.schema([WINDOWS.field(n) for n in ("_id", "_th", "s")])
+FLUSH_AT = 1 << 19          # windows a task folds at a time
+
+
+def _fold(held: list[tuple]) -> list[np.ndarray]:
+    """Of the windows with equal words the earliest stays open, the others are late already."""
+    h, h2, doc, th, s = (np.concatenate(c) for c in zip(*held))
+    order = np.lexsort((th, s, doc, h2, h))
+    h, h2, doc, th, s = (c[order] for c in (h, h2, doc, th, s))
+    new = np.concatenate(([True], (h[1:] != h[:-1]) | (h2[1:] != h2[:-1])))
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    late = (doc != doc[first]) | (s != s[first])
+    again = ~new & np.concatenate(([False], (doc[1:] == doc[:-1]) & (s[1:] == s[:-1]) & (th[1:] == th[:-1])))
+    # Late windows only travel to their document: spread them.
+    h = np.where(late, P.mixed((h2 ^ doc * 3 ^ s * 5).view(np.uint64)).view(np.int64), h)
+    return [c[~again] for c in (h, h2, doc, th, s, late)]
 
-        def out(cols):
-            cls, body, doc, th, lo, info = cols
-            info = info.astype(np.int64)
-            most, least = info & 255, info >> 8
-            entry, start = later_windows(cls, body.tolist(), doc, lo, most, least, length, first)
-            if not len(entry):
-                return []
-            order = np.lexsort((start, th[entry], doc[entry]))
-            d, t, s = doc[entry][order], th[entry][order], start[order]
-            new = np.concatenate(([True], (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (s[1:] > s[:-1] + 1)))
-            return [batch_of(SPANS, [d[new], t[new], s[new], s[np.concatenate((new[1:], [True]))] + length])]
 
+def _windows(length: int):
+    """Every window of the surviving runs, by a 128-bit hash of its words, folded within the task."""
+    def run(batches):
+        held, n = [], 0
         for b in batches:
-            held.append([b.column("cls").to_numpy(), np.array([*b.column("body").to_pylist(), None], object)[:-1],
-                         *(b.column(c).to_numpy() for c in ("_id", "_th", "lo", "info"))])
-            n += b.num_rows
-            if n >= CHUNK:
-                cols = [np.concatenate(c) for c in zip(*held)]
-                other = np.flatnonzero(cols[0] != cols[0][-1])
-                if len(other):
-                    end = int(other[-1]) + 1
-                    yield from out([c[:end] for c in cols])
-                    cols = [c[end:] for c in cols]
-                held, n = [cols], len(cols[0])
+            rows = []
+            for doc, th, lo, body in zip(*(b.column(c).to_pylist() for c in ("_id", "_th", "lo")),
+                                         binary_rows(b.column("body"))):
+                starts = [0, *accumulate(len(w) + 1 for w in body.split())]
+                ends = [x - 1 for x in starts[1:]]
+                rows += [(hashlib.blake2b(body[x:y], digest_size=16).digest(), doc, th, lo + i)
+                         for i, (x, y) in enumerate(zip(starts, ends[length - 1:]))]
+            if rows:
+                digest, *rest = zip(*rows)
+                held.append((*np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2).T,
+                             *(np.array(c, np.int64) for c in rest)))
+                n += len(rows)
+            if n >= FLUSH_AT:
+                yield batch_of(WINDOWS, _fold(held))
+                held, n = [], 0
         if n:
-            yield from out([np.concatenate(c) for c in zip(*held)])
+            yield batch_of(WINDOWS, _fold(held))
     return run
 
 
-def _finish(batches):
-    schema = pa.schema([(n, MID.field(n).type) for n in ("_id", "_th", "n", "removed", "sha")])
+def _late(batches):
+    """Rows sorted by (h, h2, _id, s): the windows that are not the earliest of their words."""
+    last = None                                # words and place of the earliest of the latest group
     for b in batches:
-        rows = []
-        for doc, th, starts, ends, found, text in zip(
-                *(b.column(c).to_pylist() for c in ("_id", "_th", "starts", "ends", "_found")),
-                binary_rows(b.column("text"))):
-            found, words = found or [], P.unzip(text).split()
-            s, e = P.merged(np.array(starts + [x["s"] for x in found], np.int64),
-                            np.array(ends + [x["e"] for x in found], np.int64))
-            rows.append((doc, th, len(words), *cut_out(words, s.tolist(), e.tolist())))
-        yield batch_of(schema, [list(c) for c in zip(*rows)] if rows else [[]] * 5)
+        h, h2, doc, th, s = (b.column(c).to_numpy() for c in ("h", "h2", "_id", "_th", "s"))
+        late = b.column("late").to_numpy(zero_copy_only=False)
+        use = np.flatnonzero(~late)
+        x = [c[use] for c in (h, h2, doc, s)]
+        if last is not None:
+            x = [np.concatenate(([v], c)) for v, c in zip(last, x)]
+        if len(x[0]):
+            new = np.concatenate(([True], (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1])))
+            first = np.flatnonzero(new)[np.cumsum(new) - 1]
+            behind = (x[2] != x[2][first]) | (x[3] != x[3][first])
+            late[use] = behind[len(behind) - len(use):]
+            last = [c[first[-1]] for c in x]
+        yield batch_of(LATE, [doc[late], th[late], s[late]])
+
+
+def _finish(length: int):
+    schema = pa.schema([(n, MID.field(n).type) for n in ("_id", "_th", "n", "removed", "sha")])
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for doc, th, starts, ends, found, text in zip(
+                    *(b.column(c).to_pylist() for c in ("_id", "_th", "starts", "ends", "_found")),
+                    binary_rows(b.column("text"))):
+                found, words = np.array(found or [], np.int64), P.unzip(text).split()
+                s, e = P.merged(np.concatenate((np.array(starts, np.int64), found)),
+                                np.concatenate((np.array(ends, np.int64), found + length)))
+                rows.append((doc, th, len(words), *cut_out(words, s.tolist(), e.tolist())))
+            yield batch_of(schema, [list(c) for c in zip(*rows)] if rows else [[]] * 5)
+    return run
 
 
 def removed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -194,16 +198,20 @@ def removed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Words covered by a ``length``-word window that also starts earlier go.
     """
+    if length < 3 * first:
+        raise ValueError("windows of fewer than three seeds' words are not supported")
     whole = keyed(docs, id_col, text_col)
     placed = P.with_places(whole, word_symbols, first, length, earliest=True)
     mid = cut(placed.mapInArrow(_regions(length, first), MID_DDL), "regions")
-    spans = (mid.where(f"kind = {REGION}").select("cls", "body", "_id", "_th", "lo", "info")
-             .repartition(shuffle_width(docs.sparkSession), "cls").sortWithinPartitions("cls")
-             .mapInArrow(_compare(length, first), "_id long, _th long, s long, e long"))
-    spans = spans.groupBy("_id", "_th").agg(F.collect_list(F.struct("s", "e")).alias("_found"))
+    runs = mid.where(f"kind = {REGION}").select("run", "_id", "_th", "lo", "body")
+    twice = cut(runs.groupBy("run").agg(F.count("*").alias("c")).where("c > 1").select("run"), "runs")
+    windows = runs.join(twice, "run", "left_semi").mapInArrow(_windows(length), WINDOWS_DDL)
+    late = (windows.repartition("h").sortWithinPartitions("h", "h2", "_id", "s")
+            .mapInArrow(_late, "_id long, _th long, s long"))
+    spans = late.groupBy("_id", "_th").agg(F.collect_list("s").alias("_found"))
     waiting = mid.where(f"kind = {WAITING}").select("_id", "_th", "text", "starts", "ends")
     finished = waiting.join(spans, ["_id", "_th"], "left").mapInArrow(
-        _finish, "_id long, _th long, n long, removed long, sha string")
+        _finish(length), "_id long, _th long, n long, removed long, sha string")
     return mid.where(f"kind = {RESULT}").select("_id", "_th", "n", "removed", "sha").unionByName(finished)
 
 

@@ -214,6 +214,36 @@ def test_doubling_dedup_brute(spark, docs):
     assert got == brute_words([d[:2] for d in docs])
 
 
+def test_common_runs_with_different_text_around(spark):
+    """Runs of 5, 10, 12 and 25 words that most documents share, every context its own."""
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(5000)]
+    shared = [[f"{c}{i}" for i in range(n)] for c, n in (("a", 5), ("b", 10), ("c", 12), ("d", 19), ("e", 25))]
+    rows = []
+    for i in range(300):
+        text = r.sample(words, r.randint(0, 9))
+        for part in r.sample(shared, 5):
+            text += part + r.sample(words, r.randint(0, 12))
+        rows.append((i, "\n".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {x._id: (x.n, x.removed, x.sha) for x in doubling_dedup.removed_words(df).collect()}
+    want = brute_words(rows)
+    assert got == want and sum(x[1] for x in want.values()) >= 299 * 25
+
+
+def test_doubled_runs_are_inside_all_their_windows():
+    words = [str(i).encode() for i in range(60)]
+    for least in range(16):
+        for most in range(least, 16):
+            lo = 20 - most
+            seen = []
+            for _, start, body in doubling_dedup.doubled(words, lo, most, least, 20, 5):
+                w = body.split()
+                assert w == words[start:start + len(w)]
+                seen += range(start, start + len(w) - 19)
+            assert sorted(seen) == list(range(lo, 20 - least + 1))
+
+
 def test_long_documents_cross_segments(spark):
     r = random.Random(2)
     part = bytes(r.randrange(97, 123) for _ in range(300)).decode()
