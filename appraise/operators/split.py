@@ -188,17 +188,20 @@ def split_exact(df: DataFrame, key: str, test_size: float = TEST_SIZE,
     # inside one key.
     rows = df.select(token.alias(kc), h1.alias(h1c), h2.alias(h2c), row.alias(rc))
     keyed = rows.select(kc, h1c, h2c).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)      # filled only if a cut asks for it
     try:
         top1 = sorted(tuple(r) for r in keyed.groupBy(F.shiftright(F.col(h1c), 16).alias("b"))
                       .count().collect())
         n = sum(c for _, c in top1)
         _, n_val, n_test = split_quotas(n, test_size, validation_size)
-        cut1 = find_cut(keyed, h1c, kc, n_test, n, top1, rows)
+        cut1 = find_cut(keyed, h1c, kc, n_test, n, top1, kept)
         late = ~cut1.predicate(F.col(h1c), F.col(kc), F.col(rc))
-        rest = (keyed if cut1.inner is None else rows).filter(late)
-        cut2 = find_cut(rest, h2c, kc, n_val, n - n_test, None, rows.filter(late))
+        # A cut inside one key asks for the row hash too: kept likewise for the second cut's passes.
+        rest = keyed.filter(late) if cut1.inner is None else kept.filter(late)
+        cut2 = find_cut(rest, h2c, kc, n_val, n - n_test, None, kept.filter(late))
     finally:
         keyed.unpersist()
+        kept.unpersist()
     return df.withColumn(
         out_col,
         F.when(cut1.predicate(h1, token, row), F.lit("test"))
