@@ -91,7 +91,7 @@ def _regions(length: int, first: int):
             rows = []
             for doc, th, found, text in zip(b.column("_id").to_pylist(), b.column("_th").to_pylist(),
                                             b.column("_places").to_pylist(), binary_rows(b.column("_z"))):
-                found, words = P.read_places(found, th), P.unzip(text).split()
+                found, words = P.read_places(found), P.unzip(text).split()
                 starts, ends = P.settled_spans(found, length)
                 asked = False
                 for status, lo, most, least in zip(*(x.tolist() for x in found)):

@@ -97,40 +97,35 @@ def regions(symbols: np.ndarray, gram: int, length: int):
     return [np.concatenate(c) for c in zip(*parts)]
 
 
-# A region's place in one long: 31 bits first window, 14 bits of the text's hash (rows that share
-# an id but not a text), two flag or status bits, least and most offset.
-SEEDS = pa.schema([("g", pa.int64()), ("rh", pa.int64()), ("_id", pa.int64()), ("p", pa.int64())])
-SEEDS_DDL = "g long, rh long, _id long, p long"
-PLACES = pa.schema([("_id", pa.int64()), ("p", pa.int64())])
-PLACES_DDL = "_id long, p long"
+# A region's place in one long: first window, two flag or status bits, least and most offset.
+# The text's whole hash goes with the id: rows that share an id but not a text are other documents.
+SEEDS = pa.schema([("g", pa.int64()), ("rh", pa.int64()), ("_id", pa.int64()), ("_th", pa.int64()), ("p", pa.int64())])
+SEEDS_DDL = "g long, rh long, _id long, _th long, p long"
+PLACES = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("p", pa.int64())])
+PLACES_DDL = "_id long, _th long, p long"
 SETTLED, TWICE = 1 << 16, 1 << 17
 _FLAGS = 3 << 16
 
 
-def tag_of(th):
-    return th & 0x3FFF
+def place_of(lo, most, least):
+    return lo << 32 | least << 8 | most
 
 
-def place_of(lo, th, most, least):
-    return lo << 32 | tag_of(th) << 18 | least << 8 | most
-
-
-def read_places(found: list[int] | None, th: int):
-    """(status, first window, most, least offset) arrays of the places of the text with hash ``th``."""
+def read_places(found: list[int] | None):
+    """(status, first window, most, least offset) arrays of a document's places."""
     p = np.array(found or [], np.int64)
-    p = p[tag_of(p >> 18) == tag_of(th)]
     return (p >> 16) & 3, p >> 32, p & 255, (p >> 8) & 255
 
 
 def _fold(rows: list[np.ndarray], earliest: bool):
     """Fold equal regions of one task.
 
-    The first (by id, place) stays, the others are settled. With ``earliest``
+    The first (by id, place, text) stays, the others are settled. With ``earliest``
     the first itself stays open and a repeated row is no copy of itself.
     """
-    g, rh, doc, p = (np.concatenate(c) for c in zip(*rows))
-    order = np.lexsort((p, doc, rh, g))
-    g, rh, doc, p = (c[order] for c in (g, rh, doc, p))
+    g, rh, doc, th, p = (np.concatenate(c) for c in zip(*rows))
+    order = np.lexsort((th, p, doc, rh, g))
+    g, rh, doc, th, p = (c[order] for c in (g, rh, doc, th, p))
     new = np.concatenate(([True], (g[1:] != g[:-1]) | (rh[1:] != rh[:-1])))
     run = np.cumsum(new) - 1
     start = np.flatnonzero(new)
@@ -140,16 +135,16 @@ def _fold(rows: list[np.ndarray], earliest: bool):
     keep = np.ones(len(g), bool)
     if earliest:
         same = copy & (doc == doc[first]) & (p >> 32 == p[first] >> 32)
-        keep = ~(same & (p == p[first]))
+        keep = ~(same & (p == p[first]) & (th == th[first]))
         copy &= ~same
     else:
         p = np.where(new & (size[run] > 1), p | TWICE, p)
     p = np.where(copy, p | SETTLED, p)
     # Settled rows only travel to their document: spread them.
-    g = np.where(copy, mixed((rh ^ p * 3 ^ doc * 5).view(np.uint64)).view(np.int64), g)
-    order = np.lexsort((p, doc))                # neighbours alike: the shuffle files compress better
+    g = np.where(copy, mixed((rh ^ p * 3 ^ doc * 5 ^ th * 7).view(np.uint64)).view(np.int64), g)
+    order = np.lexsort((p, th, doc))            # neighbours alike: the shuffle files compress better
     order = order[keep[order]]
-    return [c[order] for c in (g, rh, doc, p)]
+    return [c[order] for c in (g, rh, doc, th, p)]
 
 
 def seed_rows(docs: DataFrame, symbolise, gram: int, length: int, earliest: bool) -> DataFrame:
@@ -163,8 +158,8 @@ def seed_rows(docs: DataFrame, symbolise, gram: int, length: int, earliest: bool
                 if found is None:
                     continue
                 g, rh, lo, most, least = found
-                held.append((g.view(np.int64), rh.view(np.int64), np.full(len(g), doc),
-                             place_of(lo, th, most, least)))
+                held.append((g.view(np.int64), rh.view(np.int64), np.full(len(g), doc), np.full(len(g), th),
+                             place_of(lo, most, least)))
                 n += len(g)
             if n >= FLUSH_AT:
                 yield batch_of(SEEDS, _fold(held, earliest))
@@ -175,7 +170,7 @@ def seed_rows(docs: DataFrame, symbolise, gram: int, length: int, earliest: bool
 
 
 def _classify(batches, earliest: bool):
-    """Rows sorted by (g, rh, _id, p): what is settled and what must be compared.
+    """Rows sorted by (g, rh, _id, p, _th): what is settled and what must be compared.
 
     Streams; held back is one run of equal regions, at most a row per task.
     """
@@ -183,7 +178,7 @@ def _classify(batches, earliest: bool):
 
     def decide(c, following):
         nonlocal before
-        g, rh, doc, p = c
+        g, rh, doc, th, p = c
         new = np.concatenate(([True], (g[1:] != g[:-1]) | (rh[1:] != rh[:-1])))
         start = np.flatnonzero(new)
         end = np.concatenate((start[1:], [len(g)]))
@@ -205,7 +200,7 @@ def _classify(batches, earliest: bool):
             status[new & ~many[run] & mixed_class[run]] = ASK
         status[(p & SETTLED) != 0] = DONE
         keep = status >= 0
-        return batch_of(PLACES, [doc[keep], (p[keep] & ~_FLAGS) | status[keep] << 16])
+        return batch_of(PLACES, [doc[keep], th[keep], (p[keep] & ~_FLAGS) | status[keep] << 16])
 
     for b in batches:
         c = [b.column(n).to_numpy() for n in SEEDS.names]
@@ -227,9 +222,10 @@ def with_places(docs: DataFrame, symbolise, gram: int, length: int, earliest: bo
     """(_id, _th, _z, _places): every document, its text zipped, with the regions that are settled
     or must be compared."""
     rows = seed_rows(docs, symbolise, gram, length, earliest)
-    judged = rows.repartition("g").sortWithinPartitions("g", "rh", "_id", "p").mapInArrow(
+    judged = rows.repartition("g").sortWithinPartitions("g", "rh", "_id", "p", "_th").mapInArrow(
         lambda it: _classify(it, earliest), PLACES_DDL)
-    return zipped(docs).join(judged.groupBy("_id").agg(F.collect_list("p").alias("_places")), "_id", "left")
+    places = judged.groupBy("_id", "_th").agg(F.collect_list("p").alias("_places"))
+    return zipped(docs).join(places, ["_id", "_th"], "left")
 
 
 ZIPPED = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("_z", pa.binary())])

@@ -201,7 +201,7 @@ def _suffixes(length: int, gram: int, parts: int):
             rows = []
             for doc, th, found, text in zip(b.column("_id").to_pylist(), b.column("_th").to_pylist(),
                                             b.column("_places").to_pylist(), binary_rows(b.column("_z"))):
-                found, zipped, text = P.read_places(found, th), text, P.unzip(text)
+                found, zipped, text = P.read_places(found), text, P.unzip(text)
                 starts, ends = P.settled_spans(found, length)
                 asked = False
                 for status, lo, most, least in zip(*(x.tolist() for x in found)):

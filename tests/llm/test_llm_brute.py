@@ -214,6 +214,23 @@ def test_doubling_dedup_brute(spark, docs):
     assert got == brute_words([d[:2] for d in docs])
 
 
+@pytest.mark.parametrize("doc", [None, 5])
+def test_texts_under_one_id_keep_their_own_places(spark, doc):
+    """Enough texts under one id that short tags of their hashes collide: each is cut at its own places."""
+    r = random.Random(21)
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = [(doc, " ".join([f"{i}x{j}" for j in range(r.randint(5, 60))] + [shared] * (i % 2) + [f"{i}y{j}" for j in range(60)]))
+            for i in range(700)]
+    df = spark.createDataFrame([(9, shared), *rows], "doc_id long, text string").repartition(6)
+    want = Counter(brute_bytes([(9, shared), *((10 + i, t) for i, (_, t) in enumerate(rows))]).values())
+    assert Counter((x.n, x.removed, x.spans, x.sha) for x in suffix_dedup.removed_bytes(df).collect()) == want
+    # Words: of one id, only what starts at a smaller place is earlier; both ids sort before 9.
+    place = {i: t.split().index("s0") for i, (_, t) in enumerate(rows) if i % 2}
+    least = min(place.values())
+    want = Counter([(60, 60)] + [(len(t.split()), 60 * (place.get(i, least) > least)) for i, (_, t) in enumerate(rows)])
+    assert Counter((x.n, x.removed) for x in doubling_dedup.removed_words(df).collect()) == want
+
+
 def test_common_runs_with_different_text_around(spark):
     """Runs of 5, 10, 12 and 25 words that most documents share, every context its own."""
     r = random.Random(12)
