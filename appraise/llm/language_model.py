@@ -9,9 +9,9 @@ classes of equal size by frequency, with a softmax inside each class; rarer
 words form bands whose inside is the smoothed unigram of the counts, the last
 band holding everything outside the head, unseen words included. Biases start
 at the corpus frequencies. Weights are trained by truncated backpropagation in
-numpy, in the tasks, on a fixed share of the training documents (so the work
-grows with the corpus), and averaged by pieces between rounds. Scoring carries
-the state across windows, so a score is the whole document's.
+numpy, in the tasks, on every training document, each task streaming its own in
+chunks, and averaged by pieces between rounds. Scoring carries the state across
+windows, so a score is the whole document's.
 
 Null and empty texts are one end token. Null ids count as the empty string for
 the split. Repeated rows are counted and scored as often as they are listed. An
@@ -34,7 +34,7 @@ CLASSES, MEMBERS = 64, 64   # softmax classes and words in each
 BANDS = (1 << 12, 1 << 14, 1 << 16)     # ranks where the unigram bands of the head begin and end
 HIDDEN = 24
 LANES, STEPS = 64, 32       # training: parallel streams and tokens between truncations
-SHARE = 32                  # one training document in so many trains the recurrent weights
+CHUNK = 1 << 18             # tokens a task deals to its lanes at a time
 ROUNDS, RATE = 2, 0.1
 SCORE_LANES, SCORE_STEPS = 256, 64
 PIECE = 8192                # weights averaged in one group
@@ -194,18 +194,23 @@ def log10_probs(w: dict, v: Vocabulary, states: np.ndarray, ids: np.ndarray) ->
     return out
 
 
-def train_stream(w: dict, v: Vocabulary, ids: np.ndarray) -> tuple[dict, int]:
-    """Truncated backpropagation over one task's token stream, dealt to parallel lanes."""
-    w = {k: a.copy() for k, a in w.items()}
+def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = None) -> tuple[dict, int]:
+    """Truncated backpropagation over a token stream, dealt to parallel lanes.
+
+    Every token but the first is a goal once. With ``seen``, the squared
+    gradients so far, ``w`` and ``seen`` are brought forward in place.
+    """
+    if seen is None:
+        w = {k: a.copy() for k, a in w.items()}
+        seen = {k: np.full_like(a, 1e-6) for k, a in w.items()}
     lanes = max(1, min(LANES, len(ids) // (2 * STEPS)))
-    length = len(ids) // lanes
-    if length < 2:
+    length = (len(ids) - 1) // lanes
+    if length < 1:
         return w, 0
-    flow = ids[:lanes * length].reshape(lanes, length).T
-    seen = {k: np.full_like(a, 1e-6) for k, a in w.items()}
+    flow = ids[np.arange(length + 1)[:, None] + np.arange(lanes) * length]      # a lane begins with the last goal before it
     h = np.zeros((lanes, HIDDEN), np.float32)
-    for at in range(0, length - 1, STEPS):
-        t = min(STEPS, length - 1 - at)
+    for at in range(0, length, STEPS):
+        t = min(STEPS, length - at)
         xs = v.input_of(flow[at:at + t])
         kept, states = [], np.empty((t, lanes, HIDDEN), np.float32)
         for i in range(t):
@@ -245,7 +250,23 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray) -> tuple[dict, int]:
             a *= scale
             seen[k] += a * a
             w[k] -= RATE * a / np.sqrt(seen[k] + 1e-8)
-    return w, lanes * length
+    if lanes * length < len(ids) - 1:          # fewer than there are lanes
+        train_stream(w, v, ids[lanes * length:], seen)
+    return w, len(ids) - 1
+
+
+def chunks(batches, index: dict[bytes, int], rest: int):
+    """The token stream of a ``_text`` column in bounded chunks of whole documents, each after an end token."""
+    held, n = [], 0
+    for b in batches:
+        for text in binary_rows(b.column("_text")):
+            held.append(encode(text.lower().split(), index, rest))
+            n += len(held[-1])
+            if n >= CHUNK:
+                yield np.concatenate([[END], *held])
+                held, n = [], 0
+    if held:
+        yield np.concatenate([[END], *held])
 
 
 def flatten(w: dict) -> np.ndarray:
@@ -265,16 +286,14 @@ PIECES = pa.schema([("piece", pa.int32()), ("values", pa.binary()), ("n", pa.flo
 
 
 def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Rounds of task-local training and averaging; ``docs`` holds ``_text`` of the training share."""
+    """Rounds of task-local training and averaging; ``docs`` holds ``_text`` of the training documents."""
     w = new_weights(v)
     for _ in range(rounds):
         def local(batches, w=w):
-            index, stream = v.index(), []
-            for b in batches:
-                stream += [encode(t.lower().split(), index, len(v.counts)) for t in binary_rows(b.column("_text"))]
-            if not stream:
-                return
-            mine, n = train_stream(w, v, np.concatenate([[END], *stream]))
+            mine = {k: a.copy() for k, a in w.items()}
+            seen, n = {k: np.full_like(a, 1e-6) for k, a in w.items()}, 0
+            for ids in chunks(batches, v.index(), len(v.counts)):
+                n += train_stream(mine, v, ids, seen)[1]
             flat = flatten(mine)
             if n and np.isfinite(flat).all():
                 cuts = range(0, len(flat), PIECE)
@@ -370,8 +389,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = learn.count()
     v = Vocabulary(head_of(counts, HEAD - 1), ends, sums["n"] + ends, sums["v"] + (ends > 0))
-    share = learn.where(F.pmod(F.xxhash64(F.lit(11), "_id"), F.lit(SHARE)) == 0).select("_text")
-    w = train(share, v)
+    w = train(learn.select("_text"), v)
     part = cut(rows.mapInArrow(_score(w, v), SCORED_DDL).withColumn("_row", F.monotonically_increasing_id()), "scores")
     rest = part.select("_row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select(
         "_row", F.col("x.rest").alias("word"), F.col("x.times").alias("n"))

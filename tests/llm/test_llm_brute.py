@@ -343,6 +343,30 @@ def test_training_lowers_loss(monkeypatch):
     assert n and language_model.score_ids(w, v, [stream[:200]])[0] > 0.6 * before
 
 
+def test_every_training_document_trains(spark, docs, monkeypatch):
+    reached = []
+    monkeypatch.setattr(language_model, "train", lambda d, v: reached.append(d.count()) or language_model.new_weights(v))
+    rows = [(d if d % 2 else None, t) for d, t, _ in docs]
+    language_model.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert reached == [sum(zlib.crc32(str("" if d is None else d).encode()) % 5 != 1 for d, _ in rows)]
+
+
+def test_every_token_is_a_goal(monkeypatch):
+    import pyarrow as pa
+    v = small_vocabulary(monkeypatch)
+    r = random.Random(6)
+    texts = [" ".join(f"w{r.randrange(4600)}" for _ in range(r.randint(0, 90))) for _ in range(120)]
+    batches = [pa.record_batch({"_text": pa.array(texts[i:i + 50])}) for i in range(0, 120, 50)]
+    tokens = sum(len(t.split()) + 1 for t in texts)
+    monkeypatch.setattr(language_model, "CHUNK", 1000)
+    parts = list(language_model.chunks(batches, v.index(), len(v.counts)))
+    assert len(parts) > 3 and max(map(len, parts)) <= 1092
+    goals = Counter()
+    monkeypatch.setattr(v, "class_of", lambda ids, f=v.class_of: goals.update(ids.tolist() if len(ids) and ids.ndim == 1 else []) or f(ids))
+    assert sum(language_model.train_stream(language_model.new_weights(v), v, p)[1] for p in parts) == tokens
+    assert sum(goals.values()) == tokens
+
+
 # 5 quality
 def test_rule_order_does_not_change_verdicts(spark):
     d = spark.read.parquet(f"{SMALL}/documents.parquet")
