@@ -4,13 +4,13 @@ Counts: every training document's words are counted (folded per task, then by
 word). The most frequent words, a bounded head, are shared with the tasks; all
 other words stay in a table and are joined.
 
-Model: a GRU over words with a class-factored softmax. The top words form
-classes of equal size by frequency, with a softmax inside each class; rarer
-words form bands whose inside is the smoothed unigram of the counts, the last
-band holding everything outside the head, unseen words included. Biases start
+Model: a GRU over words with a class-factored softmax. The words of the head
+form classes of equal size by frequency, with a softmax inside each class, and
+have an input row each; all other words, unseen ones included, form a band whose
+inside is the smoothed unigram of the counts. Biases start
 at the corpus frequencies. Weights are trained by truncated backpropagation in
 numpy, in the tasks, on every training document, each task streaming its own in
-chunks, and averaged by pieces between rounds. Scoring carries the state across
+chunks, and averaged between rounds, each weight over the tasks that moved it. Scoring carries the state across
 windows, so a score is the whole document's.
 
 Null and empty texts are one end token. Null ids count as the empty string for
@@ -29,16 +29,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appraise.llm.common import batch_of, binary_rows, cut, documents, id_of, real_id, text_of
 
-HEAD = 1 << 16              # most words shared with the tasks
-CLASSES, MEMBERS = 64, 64   # softmax classes and words in each
-BANDS = (1 << 12, 1 << 14, 1 << 16)     # ranks where the unigram bands of the head begin and end
+CLASSES, MEMBERS = 256, 256 # softmax classes and words in each
+SOFT = CLASSES * MEMBERS
+BANDS = (SOFT,)             # ranks where unigram bands begin: one, of all words outside the head
+HEAD = BANDS[0]             # most words shared with the tasks
 HIDDEN = 24
 LANES, STEPS = 64, 32       # training: parallel streams and tokens between truncations
 CHUNK = 1 << 18             # tokens a task deals to its lanes at a time
 ROUNDS, RATE = 2, 0.1
 SCORE_LANES, SCORE_STEPS = 256, 64
+BLOCK = 2048                # states whose softmax is taken at a time
 PIECE = 8192                # weights averaged in one group
-SOFT = CLASSES * MEMBERS
 N_CLASSES = CLASSES + len(BANDS)
 END = 0                     # the end token's place in the vocabulary
 
@@ -99,36 +100,24 @@ class Vocabulary:
         self.counts = np.array([ends, *(c for _, c in head)], np.float64)
         self.total, self.distinct = total, distinct
         n = len(self.counts)
-        edges = [0, *(min(n, b) for b in BANDS)]
-        self.edges = edges
         rest_n, rest_v = total - self.counts.sum(), max(0, distinct - n)
         self.rest_scale = math.log10(rest_n + 0.5 * (rest_v + 1))
-        mass = np.zeros(N_CLASSES)
-        soft = np.concatenate((self.counts[:SOFT], np.zeros(max(0, SOFT - n)))).reshape(CLASSES, MEMBERS)
-        mass[:CLASSES] = soft.sum(1)
-        inside = np.full(n, np.nan)            # log10 share of a band word inside its band
-        for b in range(len(BANDS) - 1):
-            part = self.counts[edges[b + 1]:edges[b + 2]]
-            mass[CLASSES + b] = part.sum()
-            inside[edges[b + 1]:edges[b + 2]] = np.log10((part + 0.5) / max(1e-9, (part + 0.5).sum()))
-        mass[-1] = rest_n
-        self.inside = inside
-        self.class_bias = np.log(mass + 0.5)
-        self.member_bias = np.where(np.arange(SOFT).reshape(CLASSES, MEMBERS) < n, np.log(soft + 0.5), -1e4)
+        soft = np.concatenate((self.counts, np.zeros(SOFT - n))).reshape(CLASSES, MEMBERS)
+        there = np.arange(SOFT).reshape(CLASSES, MEMBERS) < n
+        self.class_bias = np.log(np.concatenate((soft.sum(1), [rest_n])) + 0.5)
+        self.class_bias[:CLASSES][~there[:, 0]] = -1e4
+        self.member_bias = np.where(there, np.log(soft + 0.5), -1e4)
 
     def index(self) -> dict[bytes, int]:
         return {w: i + 1 for i, w in enumerate(self.words)}
 
     def class_of(self, ids: np.ndarray) -> np.ndarray:
-        """Class per id; ids past the head belong to the last band."""
-        out = ids // MEMBERS
-        for b in range(len(BANDS) - 1):
-            out = np.where((ids >= BANDS[b]) & (ids < BANDS[b + 1]), CLASSES + b, out)
-        return np.where(ids >= len(self.counts), N_CLASSES - 1, out)
+        """Class per id; ids past the head belong to the band."""
+        return np.where(ids >= len(self.counts), N_CLASSES - 1, ids // MEMBERS)
 
     def input_of(self, ids: np.ndarray) -> np.ndarray:
-        """Row of the input table: one per soft word, one per band."""
-        return np.where(ids < SOFT, ids, SOFT + self.class_of(ids) - CLASSES)
+        """Row of the input table: one per word of the head, one for the band."""
+        return np.where(ids >= len(self.counts), SOFT, ids)
 
 
 def encode(words: list[bytes], index: dict[bytes, int], rest: int) -> np.ndarray:
@@ -188,10 +177,7 @@ def log10_probs(w: dict, v: Vocabulary, states: np.ndarray, ids: np.ndarray) ->
         top = inner.max(axis=1)
         out[rows] += inner[np.arange(len(rows)), ids[rows] - k * MEMBERS] - top - np.log(
             np.exp(inner - top[:, None]).sum(axis=1))
-    out /= math.log(10)
-    band = (classes >= CLASSES) & (classes < N_CLASSES - 1)
-    out[band] += v.inside[ids[band]]
-    return out
+    return out / math.log(10)
 
 
 def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = None) -> tuple[dict, int]:
@@ -219,7 +205,7 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = No
             kept.append(k)
         flat, goal = states.reshape(-1, HIDDEN), flow[at + 1:at + 1 + t].ravel()
         classes = v.class_of(goal)
-        g = {k: np.zeros_like(a) for k, a in w.items()}
+        g = {"u": np.zeros_like(w["u"])}        # by weight, or by weight and the rows it moves
         d = _softmax(flat @ w["c"] + w["cb"])
         d[np.arange(len(goal)), classes] -= 1
         g["c"], g["cb"] = flat.T @ d, d.sum(0)
@@ -227,7 +213,7 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = No
         for k, rows in by_class(classes):
             e = _softmax(flat[rows] @ w["m"][k].T + w["mb"][k])
             e[np.arange(len(rows)), goal[rows] - k * MEMBERS] -= 1
-            g["m"][k], g["mb"][k] = e.T @ flat[rows], e.sum(0)
+            g["m", k], g["mb", k] = e.T @ flat[rows], e.sum(0)
             dflat[rows] += e @ w["m"][k]
         dstates, dh = dflat.reshape(t, lanes, HIDDEN), np.zeros((lanes, HIDDEN), np.float32)
         das = np.empty((t, lanes, 3 * HIDDEN), np.float32)
@@ -243,13 +229,18 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = No
             dh = dh * z + dg @ w["u"].T
         da = das.reshape(-1, 3 * HIDDEN)
         g["b"] = da.sum(0)
-        np.add.at(g["x"], xs.ravel(), da)
+        order = np.argsort(xs, axis=None, kind="stable")
+        inputs, first = np.unique(xs.ravel()[order], return_index=True)
+        g["x", None] = np.add.reduceat(da[order], first, axis=0)
         norm = math.sqrt(sum(float((a * a).sum()) for a in g.values())) / len(goal)
         scale = min(1.0, 1.0 / (norm + 1e-9)) / len(goal)
         for k, a in g.items():                 # Adagrad
-            a *= scale
-            seen[k] += a * a
-            w[k] -= RATE * a / np.sqrt(seen[k] + 1e-8)
+            name, at_rows = k if isinstance(k, tuple) else (k, slice(None))
+            at_rows = inputs if name == "x" else at_rows
+            a = a * np.float32(scale)
+            s = seen[name][at_rows] + a * a
+            seen[name][at_rows] = s
+            w[name][at_rows] -= RATE * a / np.sqrt(s + 1e-8)
     if lanes * length < len(ids) - 1:          # fewer than there are lanes
         train_stream(w, v, ids[lanes * length:], seen)
     return w, len(ids) - 1
@@ -283,39 +274,51 @@ def unflatten(flat: np.ndarray, like: dict) -> dict:
 
 
 PIECES = pa.schema([("piece", pa.int32()), ("values", pa.binary()), ("n", pa.float64())])
+START = np.float32(1e-6)    # of the squared gradients
 
 
 def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Rounds of task-local training and averaging; ``docs`` holds ``_text`` of the training documents."""
+    """Rounds of task-local training and averaging; ``docs`` holds ``_text`` of the training documents.
+
+    One task per core of the cluster: what they send grows with the weights and the cores, not the input.
+    """
     w = new_weights(v)
+    docs = docs.coalesce(docs.sparkSession.sparkContext.defaultParallelism)
     for _ in range(rounds):
         def local(batches, w=w):
             mine = {k: a.copy() for k, a in w.items()}
-            seen, n = {k: np.full_like(a, 1e-6) for k, a in w.items()}, 0
+            seen, n = {k: np.full_like(a, START) for k, a in w.items()}, 0
             for ids in chunks(batches, v.index(), len(v.counts)):
                 n += train_stream(mine, v, ids, seen)[1]
             flat = flatten(mine)
             if n and np.isfinite(flat).all():
-                cuts = range(0, len(flat), PIECE)
-                yield batch_of(PIECES, [list(range(len(cuts))), [flat[a:a + PIECE].tobytes() for a in cuts],
-                                        [float(n)] * len(cuts)])
+                flat[flatten(seen) == START] = np.nan       # not moved here
+                for i, a in enumerate(range(0, len(flat), PIECE)):
+                    part = flat[a:a + PIECE]
+                    if not np.isnan(part).all():
+                        yield batch_of(PIECES, [[i], [part.tobytes()], [float(n)]])
 
         def average(batches):
             sums: dict[int, list] = {}
             for b in batches:
                 for piece, values, n in zip(*(c.to_pylist() for c in b.columns)):
-                    x = np.frombuffer(values, np.float32).astype(np.float64) * n
-                    old = sums.get(piece)
-                    sums[piece] = [x, n] if old is None else [old[0] + x, old[1] + n]
-            if sums:
-                yield batch_of(PIECES, [list(sums), [(x / n).astype(np.float32).tobytes() for x, n in sums.values()],
-                                        [n for _, n in sums.values()]])
+                    x = np.frombuffer(values, np.float32).astype(np.float64)
+                    moved = ~np.isnan(x)
+                    old = sums.setdefault(piece, [np.zeros(len(x)), np.zeros(len(x))])
+                    old[0] += np.where(moved, x, 0) * n
+                    old[1] += moved * n
+            for piece, (x, n) in sums.items():
+                mean = np.where(n > 0, x / np.maximum(n, 1), np.nan).astype(np.float32)
+                yield batch_of(PIECES, [[piece], [mean.tobytes()], [float(n.max())]])
 
         parts = docs.mapInArrow(local, "piece int, values binary, n double").repartition("piece").mapInArrow(
             average, "piece int, values binary, n double").collect()
-        if parts:
-            flat = np.concatenate([np.frombuffer(r["values"], np.float32) for r in sorted(parts, key=lambda r: r["piece"])])
-            w = unflatten(flat, w)
+        flat = flatten(w)
+        for r in parts:
+            x = np.frombuffer(r["values"], np.float32)
+            old = flat[r["piece"] * PIECE:][:len(x)]
+            np.copyto(old, x, where=~np.isnan(x))
+        w = unflatten(flat, w)
     return w
 
 
@@ -347,7 +350,9 @@ def score_ids(w: dict, v: Vocabulary, docs: list[np.ndarray]) -> np.ndarray:
                 lane.append(np.arange(k))
                 goal.append(ids[:k, s])
             lane = np.concatenate(lane)
-            p = log10_probs(w, v, np.concatenate(states), np.concatenate(goal))
+            states, goal = np.concatenate(states), np.concatenate(goal)
+            p = np.concatenate([log10_probs(w, v, states[a:a + BLOCK], goal[a:a + BLOCK])
+                                for a in range(0, len(goal), BLOCK)])
             out[np.array(lanes)[:n]] += np.bincount(lane, p, minlength=n)
             last = ids[:, -1]
     return out

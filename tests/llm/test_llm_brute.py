@@ -367,6 +367,18 @@ def test_every_token_is_a_goal(monkeypatch):
     assert sum(goals.values()) == tokens
 
 
+def test_rare_head_words_are_learned_in_context(monkeypatch):
+    v = small_vocabulary(monkeypatch)
+    every = np.arange(len(v.counts) + 1)
+    assert len(np.unique(v.input_of(every))) == len(every)
+    w, _ = language_model.train_stream(language_model.new_weights(v), v, np.tile(np.array([4300, 4400, 4310, 4410]), 20000))
+    h, seen = np.zeros((1, language_model.HIDDEN), np.float32), {}
+    for i in (4300, 4400, 4310, 4410, 4300, 4400, 4310):
+        h, _ = language_model.step(w, v.input_of(np.array([i])), h)
+        seen[i] = language_model.log10_probs(w, v, np.repeat(h, 2, 0), np.array([4400, 4410]))
+    assert seen[4300][0] - seen[4310][0] > 1 and seen[4310][1] - seen[4300][1] > 1      # ten times likelier in place
+
+
 # 5 quality
 def test_rule_order_does_not_change_verdicts(spark):
     d = spark.read.parquet(f"{SMALL}/documents.parquet")
