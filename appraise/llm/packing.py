@@ -9,9 +9,10 @@ remainders are laid end to end and cut at the sequence length, and the last ones
 of a range are cut at powers of two, so no sequence needs padding beyond its own
 length.
 
-Ids are those of the tokenizer file ``byte_bpe_50k.json``; the same vocabulary
-as ranks (``byte_bpe_50k.tiktoken``) gives the same ids several times faster and
-is what the tasks use (the tests compare the two). Null text is the empty
+Ids are those of the tokenizer file ``byte_bpe_50k.json``, whose added tokens are
+matched inside the text; the same vocabulary as ranks (``byte_bpe_50k.tiktoken``)
+with the added tokens of that file gives the same ids several times faster and is
+what the tasks use (the tests compare the two). Null text is the empty
 document: one end id. Repeated rows are packed as often as they are listed. An
 empty table gives an empty result; other columns are ignored.
 """
@@ -40,6 +41,18 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens() -> dict[str, int]:
+    """Tokens of the tokenizer file that are matched in the text before it is split into words."""
+    import json
+
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+        raise ValueError("added tokens that look at their surroundings are not supported")
+    return {t["content"]: t["id"] for t in added}
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str):
     import base64
@@ -49,7 +62,7 @@ def _encoder(path: str):
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                             special_tokens={})
+                             special_tokens=added_tokens())
 
 
 def projection(vocabulary: int = 1 << 16, dims: int = DIMENSIONS) -> np.ndarray:
@@ -107,7 +120,15 @@ TOKENS_DDL = "_id long, _key long, _n long, _crcs array<long>, _tail binary"
 
 def _tokenise(path: str, length: int):
     def run(batches):
-        encode, table = _encoder(path).encode_ordinary, projection()
+        encoder, table = _encoder(path), projection()
+        added = added_tokens()
+
+        def encode(text):
+            # The texts between added tokens are split and merged by themselves, as the tokenizer does.
+            if any(t in text for t in added):
+                return encoder.encode(text, allowed_special="all")
+            return encoder.encode_ordinary(text)
+
         for b in batches:
             ids = [np.array(encode(t.decode()) + [END_ID], np.uint32) for t in binary_rows(b.column("_text"))]
             crcs, tails = [], []

@@ -73,6 +73,22 @@ def test_special_strings_are_text():
     assert len(enc.encode_ordinary("<|endoftext|>")) > 1
 
 
+def test_added_tokens_like_the_tokenizer_file(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))      # in its default setting
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f" {end}\n\n{end}x", f"one  {end}  two {end[:-1]} three", f"é{end}é {end} ", "no such token",
+             "<|endoftext|", f"<|endof{end}text|>", f"{'word ' * 1500}{end} tail"]
+    got = defaultdict(list)
+    for r in packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ranges=2).collect():
+        got[r.doc_id].append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+    for i, t in enumerate(texts):
+        ids = np.array(tok.encode(t, add_special_tokens=False).ids + [packing.END_ID], "<u4")
+        assert sum(n for _, n, _, _ in got[i]) == len(ids) and (50256 in ids) == (end in t)
+        assert all(zlib.crc32(ids[s:s + n].tobytes()) == c and m == len(ids) for s, n, c, m in got[i])
+
+
 def test_hilbert_is_a_curve():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     key = packing.hilbert(grid, 3)
