@@ -1,12 +1,12 @@
 """Personal data: fixed patterns plus a character-level BiLSTM with CRF transitions.
 
 The patterns give the base spans. The model is trained in numpy on the driver
-from a bounded sample of labelled windows (the base spans are the labels) and
-then reads every place of every text that could hold such data: all four kinds
-contain a digit or an ``@``, so windows are laid around each of these. Windows
-overlap by half and are decoded one by one; the document's spans are then
-reconciled globally: equal spans from several windows add their weights and the
-heaviest set of spans that do not overlap each other or a base span is kept.
+from a bounded sample of labelled windows around digits and ``@`` (the base spans are
+the labels) and then reads the whole of every text. Windows overlap by half and are decoded one by one; a span cut by a
+window's edge is joined with the pieces that its neighbours found of it. The
+document's spans are then reconciled globally: equal spans from several windows
+add their weights and the heaviest set of spans that do not overlap each other or
+a base span is kept.
 
 Null and empty texts have no spans. Repeated rows are read alike. Empty tables
 give empty results (an untrained model is never asked then); other columns are
@@ -27,7 +27,6 @@ from appraise.llm.common import batch_of, binary_rows, documents, id_of, real_id
 
 KINDS = ("email", "ip", "card", "phone")
 TRIGGER = re.compile("[0-9@]+")
-TRIGGER_BYTES = re.compile(rb"[0-9@]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # Runs of digits are tried once, from their first digit: linear in the text.
@@ -104,6 +103,11 @@ def window_starts(text: str) -> list[int]:
     return sorted(s * STRIDE for s in out)
 
 
+def all_starts(text: str) -> list[int]:
+    """Starts of overlapping windows over the whole text."""
+    return list(range(0, max(1, len(text) - WINDOW + STRIDE), STRIDE)) if text else []
+
+
 def tags_of(spans: list[tuple[int, int, int]], start: int) -> np.ndarray:
     out = np.zeros(WINDOW, np.int64)
     for s, k, e in spans:
@@ -314,26 +318,61 @@ def reconcile(found: list[tuple[int, int, int, float]], base: list[tuple[int, in
     return out[::-1]
 
 
+def stitch(pieces: list[tuple[int, int, int, float, bool, bool]]) -> list[tuple[int, int, int, float]]:
+    """Whole spans of (start, kind, end, probability, cut left, cut right) pieces of one text.
+
+    Pieces cut by a window's edge are joined with those of their kind that they
+    overlap or touch on that side; what stays cut on a side is left out, and the
+    probability is the mean over the pieces' characters.
+    """
+    out = [x[:4] for x in pieces if not x[4] and not x[5]]
+    for kind in {x[1] for x in pieces if x[4] or x[5]}:
+        run: list = []
+        for x in [*sorted(x for x in pieces if x[1] == kind and (x[4] or x[5])), None]:
+            # Inside a run every piece but the last must go on to the right, the next one be cut on the left.
+            if run and (x is None or x[0] > run[1] or not (run[4] and x[4])):
+                if not run[3] and not run[4]:
+                    out.append((run[0], kind, run[1], run[2][0] / run[2][1]))
+                run = []
+            if x is None:
+                break
+            s, _, e, p, left, right = x
+            if not run:
+                run = [s, e, [p * (e - s), e - s], left, right]
+            else:
+                run[2] = [run[2][0] + p * (e - s), run[2][1] + e - s]
+                if e >= run[1]:
+                    run[1], run[4] = e, right
+    return out
+
+
 def read_texts(m: dict, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """Spans the model adds to each text's base spans."""
-    where, rows, bases = [], [], [base_spans(t) for t in texts]
+    bases = [base_spans(t) for t in texts]
+    found: list[list] = [[] for _ in texts]
+
+    def read(where):
+        rows = [pad(char_ids(texts[i][s:s + WINDOW])) for i, s in where]
+        for (i, s), spans in zip(where, decode(m, np.stack(rows))):
+            size = len(texts[i])
+            found[i] += [(s + a, k, min(s + e, size), p, a == 0 and s > 0, e == WINDOW and s + e < size)
+                         for a, k, e, p in spans if s + a < size]
+
+    where = []
     for i, t in enumerate(texts):
-        for s in window_starts(t):
+        for s in all_starts(t):
             where.append((i, s))
-            rows.append(pad(char_ids(t[s:s + WINDOW])))
-    found: list[list] = [[] for _ in texts]
-    for at in range(0, len(rows), 512):
-        for (i, s), spans in zip(where[at:at + 512], decode(m, np.stack(rows[at:at + 512]))):
-            t = texts[i]
-            for a, k, e, p in spans:
-                # A span cut by the window's edge is left to the window that holds it whole.
-                cut_left, cut_right = a == 0 and s > 0, e == WINDOW and s + WINDOW < len(t)
-                piece = t[s + a:s + e]
-                if (p >= MIN_CONFIDENCE and not cut_left and not cut_right and s + e <= len(t)
-                        and len(piece) >= MIN_LENGTH[KINDS[k]] and TRIGGER.search(piece)
-                        and piece == piece.strip()):
-                    found[i].append((s + a, k, s + e, p))
-    return [reconcile(f, b) for f, b in zip(found, bases)]
+            if len(where) == 512:
+                read(where)
+                where = []
+    if where:
+        read(where)
+    out = []
+    for t, pieces, base in zip(texts, found, bases):
+        whole = [(s, k, e, p) for s, k, e, p in stitch(pieces)
+                 if p >= MIN_CONFIDENCE and e - s >= MIN_LENGTH[KINDS[k]] and t[s:e] == t[s:e].strip()]
+        out.append(reconcile(whole, base))
+    return out
 
 
 WINDOWS = pa.schema([("rank", pa.int64()), ("text", pa.string()), ("tags", pa.list_(pa.int64()))])
@@ -371,7 +410,7 @@ def find(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id",
     def run(batches):
         for b in batches:
             raw = list(binary_rows(b.column("_text")))
-            live = [i for i, t in enumerate(raw) if TRIGGER_BYTES.search(t)]
+            live = [i for i, t in enumerate(raw) if t]
             cols = [b.column("_id").to_pylist(), *([0] * len(raw) for _ in KINDS),
                     [nothing] * len(raw), [""] * len(raw), [0] * len(raw)]
             texts = [raw[i].decode() for i in live]

@@ -158,6 +158,22 @@ def test_tagger_gradients():
         assert abs((up - down) / 2e-5 - g[k][i]) < 1e-4
 
 
+@pytest.mark.parametrize("size", [6, 20, 31, 45, 63, 64, 90, 200])
+def test_spans_are_found_whole_at_every_place(monkeypatch, size):
+    """A tagger that marks every 'x' as email: found without digit or @, however windows cut it."""
+    def decode(m, ids):
+        out = []
+        for row in ids:
+            marked = "".join("x" if c == ord("x") - 32 else " " for c in row)
+            out.append([(f.start(), 0, f.end(), 0.99) for f in re.finditer("x+", marked)])
+        return out
+    monkeypatch.setattr(personal_data, "decode", decode)
+    texts = ["a" * n + "x" * size + "b" * 100 for n in range(0, 130)] + ["c" * n + "x" * size for n in (0, 1, 63, 64, 65)]
+    texts += ["a" * 10 + "x" * size + "b" * 3 + "x" * size + "c"]
+    for t, got in zip(texts, personal_data.read_texts({}, texts)):
+        assert got == [(f.start(), 0, f.end()) for f in re.finditer("x+", t)]
+
+
 def test_reconcile_takes_heaviest():
     got = personal_data.reconcile([(0, 0, 6, .9), (4, 1, 20, .9), (18, 2, 30, .9), (0, 0, 6, .9), (40, 3, 50, 1)], [(45, 0, 60)])
     assert got == [(0, 0, 6), (18, 2, 30)] or got == [(4, 1, 20)]
