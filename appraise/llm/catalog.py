@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from appraise.llm import (doubling_dedup, exact_dedup, language_model, mixing, packing,
+from appraise.llm import (conversation_repair, doubling_dedup, exact_dedup, language_model, mixing, packing,
                           personal_data, quality, simhash, suffix_dedup, url_filter)
 
 QUERIES = {f.__name__: f for f in (
@@ -16,6 +16,7 @@ QUERIES = {f.__name__: f for f in (
     simhash.op8_simhash_tiles,
     url_filter.op9_redirect_url_filter,
     exact_dedup.op10_cuckoo_exact_dedup,
+    conversation_repair.op12_conversation_repair,
 )}
 ORACLES = {
     "op5_quality_cascade": quality.OP5_SQL,
