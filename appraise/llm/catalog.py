@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from appraise.llm import (conversation_repair, doubling_dedup, exact_dedup, language_model, mixing, packing,
-                          personal_data, quality, simhash, suffix_dedup, url_filter)
+from appraise.llm import (conversation_repair, doubling_dedup, exact_dedup, language_model, mixing,
+                          neighbours, packing, personal_data, quality, simhash,
+                          suffix_dedup, token_alignment, url_filter)
 
 QUERIES = {f.__name__: f for f in (
     packing.op1_hilbert_packing,
@@ -16,7 +17,9 @@ QUERIES = {f.__name__: f for f in (
     simhash.op8_simhash_tiles,
     url_filter.op9_redirect_url_filter,
     exact_dedup.op10_cuckoo_exact_dedup,
+    neighbours.op11_projected_neighbours,
     conversation_repair.op12_conversation_repair,
+    token_alignment.op13_token_alignment,
 )}
 ORACLES = {
     "op5_quality_cascade": quality.OP5_SQL,
