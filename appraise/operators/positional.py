@@ -9,6 +9,11 @@ is lost), and per-partition counts (one row per partition, a bounded table)
 give each partition its offset. The two sides then meet in an equi-join on the
 unique position (no skew possible), full outer so the shorter side pads with
 NULLs.
+
+Files do have an order: their names, and the lines in them. ``with_file_position``
+numbers the rows of a file scan that way without any sort: a row's place in its block
+is its running id minus the block's first, and the counts of the blocks before it
+(one row per block) give the offset.
 """
 
 from __future__ import annotations
@@ -39,6 +44,28 @@ def with_position(df: DataFrame, order_by: Sequence[str], name: str = "pos") ->
             .drop("__pid", "__mid", "__off", "__first", "__tie"))
 
 
+def with_file_position(scan: DataFrame, name: str = "pos") -> DataFrame:
+    """Add a 0-based position in file order to a plain file scan (``spark.read...``, unfiltered).
+
+    Files follow one another by path. Blank lines and headers, which the reader
+    skips, have no position.
+    """
+    rows = scan.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+                       F.monotonically_increasing_id().alias("__mid"))
+    blocks = rows.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    # One row per file block: the window and the broadcast are small by construction.
+    w = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    return (rows.join(F.broadcast(offsets.select("__file", "__block", "__off", "__first")), ["__file", "__block"])
+            .withColumn(name, F.col("__off") + F.col("__mid") - F.col("__first"))
+            .drop("__file", "__block", "__mid", "__off", "__first"))
+
+
+def zip_files(left: DataFrame, right: DataFrame, name: str = "pos") -> DataFrame:
+    """Line i of one set of files beside line i of another; the shorter side is padded with NULLs."""
+    return with_file_position(left, name).join(with_file_position(right, name), name, "full_outer")
+
+
 def zip_join(left: DataFrame, right: DataFrame, left_order: Sequence[str],
              right_order: Sequence[str], name: str = "pos") -> DataFrame:
     """Row-by-row concatenation; the shorter side is padded with NULLs."""

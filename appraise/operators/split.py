@@ -14,9 +14,13 @@ Two forms:
   ``row_number`` (which pulls every row into one task) the cut point in hash
   order is found with two bounded histogram passes (65,536 buckets on the top
   16 bits, then 65,536 on the low 16 bits inside the one boundary bucket) and a
-  tie pass over the rows sharing the exact boundary hash. Membership is then a
-  per-row predicate ``(h, key) <= (H, K)``: the final assignment is a map, not a
-  shuffle, and no task ever holds more than one histogram.
+  tie pass over the rows sharing the exact boundary hash. Where the cut falls
+  inside one key, its rows are cut by a 64-bit hash of the whole row, found in the
+  same passes. Membership is then a per-row predicate ``(h, key, row) <= (H, K, R)``:
+  the final assignment is a map, not a shuffle, and no task ever holds more
+  than one histogram. Only where rows equal in every column lie across a cut do
+  they need numbers: the table is then written once with a running id, and
+  the cut takes as many copies as it lacks, by id.
 """
 
 from __future__ import annotations
@@ -30,12 +34,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from appraise.session import written
+
 # Split fractions and seeds of the training preparation.
 TEST_SIZE = 0.1
 VALIDATION_SIZE = 0.2
 TRAIN_SEEDS = (293, 342)
 TUNE_SEEDS = (8939, 304)
-LEGACY_TUNE_SEEDS = (293, 342)
 
 _BITS = 32
 _SCALE = 1 << _BITS
@@ -97,7 +102,7 @@ class Cut:
     ``everything`` / ``nothing`` cover the quota = n and quota = 0 cases.
     ``key_value`` None means every row with ``h == hash_value`` is inside (null
     keys are compared as their token). ``inner`` decides among the rows of the
-    boundary key itself, by a hash of the whole row.
+    boundary key itself, by the parts of the row's hash and, among copies, its number.
     """
     hash_value: int | None = None
     key_value: object = None
@@ -105,7 +110,8 @@ class Cut:
     nothing: bool = False
     inner: Cut | None = None
 
-    def predicate(self, h: Column, key: Column, row: Column | None = None) -> Column:
+    def predicate(self, h: Column, key: Column, parts: Sequence[Column] = ()) -> Column:
+        """``parts``: the 32-bit columns that inner cuts compare, one after the other."""
         if self.everything:
             return F.lit(True)
         if self.nothing:
@@ -115,7 +121,11 @@ class Cut:
             return below | at
         before = below | (at & (key < F.lit(self.key_value)))
         edge = at & (key == F.lit(self.key_value))
-        return before | (edge if self.inner is None else edge & self.inner.predicate(row, F.lit(0), row))
+        return before | (edge if self.inner is None else edge & self.inner.predicate(parts[0], F.lit(0), parts[1:]))
+
+    @property
+    def depth(self) -> int:
+        return 0 if self.inner is None else 1 + self.inner.depth
 
 
 def key_token(key: str) -> Column:
@@ -133,10 +143,18 @@ def _walk(hist: list[tuple[int, int]], quota: int) -> tuple[int, int, int]:
     raise ValueError("quota exceeds row count")
 
 
+class Copies(Exception):
+    """Rows that agree in every column lie across a cut."""
+
+
 def find_cut(df: DataFrame, h: str, key: str, quota: int, total: int | None = None,
              top_hist: list[tuple[int, int]] | None = None, rows: DataFrame | None = None,
-             row: str = "__row") -> Cut:
-    """Locate the quota-th row in (h, key, row hash) order with bounded aggregations."""
+             parts: Sequence[str] = ()) -> Cut:
+    """Locate the quota-th row in (h, key, parts) order with bounded aggregations.
+
+    ``rows`` holds the ``parts`` columns (unsigned 32 bits each), read only if a cut
+    falls inside one key.
+    """
     if quota <= 0:
         return Cut(nothing=True)
     if top_hist is None:
@@ -162,31 +180,52 @@ def find_cut(df: DataFrame, h: str, key: str, quota: int, total: int | None = No
         need -= count
     if need == count:
         return Cut(hash_value=hash_value, key_value=value)
-    if rows is None:
-        raise ValueError("rows that agree in every column are tied at the cut: give them a sequence number")
-    # The boundary key repeats: its rows are cut by a hash of the whole row.
-    inner = find_cut(rows.filter((F.col(h) == F.lit(hash_value)) & (F.col(key) == F.lit(value))), row, row, need)
+    if not parts:
+        raise Copies
+    # The boundary key repeats: its rows are cut by the next part.
+    inside = rows.filter((F.col(h) == F.lit(hash_value)) & (F.col(key) == F.lit(value))).withColumn(key, F.lit(0))
+    inner = find_cut(inside, parts[0], key, need, rows=inside, parts=parts[1:])
     return Cut(hash_value=hash_value, key_value=value, inner=inner)
 
 
+_PARTS = ("__row_a", "__row_b", "__copy_a", "__copy_b")
+
+
+def _halves(c: Column) -> tuple[Column, Column]:
+    return F.shiftrightunsigned(c, 32), c.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 def split_exact(df: DataFrame, key: str, test_size: float = TEST_SIZE,
                 validation_size: float = VALIDATION_SIZE,
                 seeds: Sequence[int] = TRAIN_SEEDS, out_col: str = "split",
                 how: str = "md5") -> DataFrame:
-    """Exact-size two-stage split by (hash of the key, key, hash of the row).
+    """Exact-size two-stage split by (hash of the key, key, 64-bit hash of the row).
 
     Keys may repeat or be null (null keys hash as a token of their own); rows of
-    one key stay together except at the two cuts, where a hash of the whole row
-    decides. Rows equal in every column that are tied at a cut are an error.
+    one key stay together except at the two cuts, where the hash of the whole row
+    decides. Of rows equal in every column across a cut, as many go in as the
+    quota lacks; the table is written to the scratch folder with running ids for that.
     """
-    h1c, h2c, rc, kc = "__h1", "__h2", "__row", "__key"
-    row = F.xxhash64(F.lit(seeds[0]), *[F.col(f"`{c}`") for c in df.columns]).bitwiseAND(F.lit(0xFFFFFFFF))
+    try:
+        return _split_exact(df, key, test_size, validation_size, seeds, out_col, how, None)
+    except Copies:
+        numbered = written(df.withColumn("__copy", F.monotonically_increasing_id()), "split-copies")
+        return _split_exact(numbered, key, test_size, validation_size, seeds, out_col, how, "__copy").drop("__copy")
+
+
+def _split_exact(df: DataFrame, key: str, test_size: float, validation_size: float, seeds: Sequence[int],
+                 out_col: str, how: str, copy: str | None) -> DataFrame:
+    h1c, h2c, kc = "__h1", "__h2", "__key"
+    parts = [*_halves(F.xxhash64(F.lit(seeds[0]), *[F.col(f"`{c}`") for c in df.columns if c != copy]))]
+    if copy:
+        parts += _halves(F.col(copy))
+    names = _PARTS[:len(parts)]
     h1, h2, token = _null_safe(key, seeds[0], how), _null_safe(key, seeds[1], how), _ordered(df, key)
     # The cut search scans the hashed keys several times: keep them (the key and
     # two longs) instead of recomputing md5 on every pass. Lost blocks are
     # recomputed from the scan. Whole rows are hashed only where a cut falls
     # inside one key.
-    rows = df.select(token.alias(kc), h1.alias(h1c), h2.alias(h2c), row.alias(rc))
+    rows = df.select(token.alias(kc), h1.alias(h1c), h2.alias(h2c), *[p.alias(n) for p, n in zip(parts, names)])
     keyed = rows.select(kc, h1c, h2c).persist(StorageLevel.MEMORY_AND_DISK)
     kept = rows.persist(StorageLevel.MEMORY_AND_DISK)      # filled only if a cut asks for it
     try:
@@ -194,18 +233,18 @@ def split_exact(df: DataFrame, key: str, test_size: float = TEST_SIZE,
                       .count().collect())
         n = sum(c for _, c in top1)
         _, n_val, n_test = split_quotas(n, test_size, validation_size)
-        cut1 = find_cut(keyed, h1c, kc, n_test, n, top1, kept)
-        late = ~cut1.predicate(F.col(h1c), F.col(kc), F.col(rc))
+        cut1 = find_cut(keyed, h1c, kc, n_test, n, top1, kept, names)
+        late = ~cut1.predicate(F.col(h1c), F.col(kc), [F.col(c) for c in names])
         # A cut inside one key asks for the row hash too: kept likewise for the second cut's passes.
         rest = keyed.filter(late) if cut1.inner is None else kept.filter(late)
-        cut2 = find_cut(rest, h2c, kc, n_val, n - n_test, None, kept.filter(late))
+        cut2 = find_cut(rest, h2c, kc, n_val, n - n_test, None, kept.filter(late), names)
     finally:
         keyed.unpersist()
         kept.unpersist()
     return df.withColumn(
         out_col,
-        F.when(cut1.predicate(h1, token, row), F.lit("test"))
-        .when(cut2.predicate(h2, token, row), F.lit("validation"))
+        F.when(cut1.predicate(h1, token, parts), F.lit("test"))
+        .when(cut2.predicate(h2, token, parts), F.lit("validation"))
         .otherwise(F.lit("train")))
 
 

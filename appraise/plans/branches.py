@@ -167,7 +167,7 @@ def stream_training_requests(spark: SparkSession, base: str) -> DataFrame:
                                   F.col("o_orderkey").cast("string"), F.lit("/f.csv")).alias("key"))
     best = best_of_newest_job(trials_from_events(events), ["params"]).select("model_type", "params")
     newest = _companions(events, F.concat(F.lit("root/"), "event_type", F.lit("/crawling")))
-    req = run_requests(records(stream_notifications(spark, _land(spark, keys), 1)), routes_table(spark, _TYPES[:2]))
+    req = run_requests(records(stream_notifications(spark, _land(spark, keys))), routes_table(spark, _TYPES[:2]))
     out = attach_run_inputs(attach_companion(req, newest), best)
     return _run(spark, out.select("s3_path", "model_type", "run_name", F.col("params")["k"].alias("k"), "companion_path"))
 
@@ -192,6 +192,6 @@ def stream_scoring_requests(spark: SparkSession, base: str) -> DataFrame:
     models = models_from_events(events).withColumnsRenamed({"name": "model_name", "path": "model_path"})
     model = latest_per_key(models, ["model_type"], "created_at", "model_name", ["model_name", "model_path"])
     newest = _companions(events, F.concat(F.lit("root/training/"), "event_type", F.lit("/crawling")))
-    req = run_requests(records(stream_notifications(spark, _land(spark, keys), 1)), scoring_routes(spark, _TYPES[:2]))
+    req = run_requests(records(stream_notifications(spark, _land(spark, keys))), scoring_routes(spark, _TYPES[:2]))
     out = attach_run_inputs(attach_companion(req, newest, scoring_companion_prefix()), newest_model=model)
     return _run(spark, out.select("s3_path", "model_type", "run_name", "model_name", "companion_path"))

@@ -14,6 +14,7 @@ PLAN_MODULES = (
     "appraise.plans.model",
     "appraise.plans.streams",
     "appraise.plans.branches",
+    "appraise.plans.landed",
 )
 
 

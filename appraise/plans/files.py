@@ -17,6 +17,7 @@ from appraise.operators.split import (TEST_SIZE, TRAIN_SEEDS, VALIDATION_SIZE,
                                       fraction_threshold, hash32_sql, split_fraction)
 from appraise.plans.registry import query
 from appraise.session import scratch_path
+from appraise.sources.csv_blocks import read_quoted_csv
 from appraise.sources.files import (latest_file, read_csv, read_splits, write_csv,
                                     write_dated, write_splits)
 from appraise.sources.tables import read_table
@@ -71,7 +72,7 @@ def csv_headerless(spark: SparkSession, base: str) -> DataFrame:
 _LISTING_SQL = """SELECT 'lots/' || event_type || '/' || event_id || CASE event_id % 3 WHEN 0 THEN '.xlsx' WHEN 1 THEN '.csv' ELSE '.txt' END AS path, ts AS t FROM events"""
 
 
-@query("latest_file", sql=f"""
+@query("latest_listed", sql=f"""
 SELECT path FROM ({_LISTING_SQL}) l WHERE path LIKE '%.csv' AND t IS NOT NULL ORDER BY t DESC, path LIMIT 1""")
 def latest_file_q(spark: SparkSession, base: str) -> DataFrame:
     """Newest CSV of a listing (XLSX only where there is no CSV, other kinds never)."""
@@ -84,18 +85,18 @@ def latest_file_q(spark: SparkSession, base: str) -> DataFrame:
 
 @query("csv_text_roundtrip", sql="""
 SELECT doc_id, nullif(text, '') AS text, lang FROM documents
-UNION ALL SELECT -1 - doc_id, '"' || substr(text, 1, 40) || '", "a;b"', lang FROM documents""")
+UNION ALL SELECT -1 - doc_id, '"' || text || '", "a;b"\n', lang FROM documents""")
 def csv_text_roundtrip(spark: SparkSession, base: str) -> DataFrame:
-    """Whole texts with newlines, quotes and separators written as CSV and read back.
+    """Whole texts with newlines, quotes and separators written as CSV and read back in blocks.
 
     An empty text is written as a quoted empty field and reads back as null.
     """
     d = read_table(spark, base, "documents").select("doc_id", "text", "lang")
-    quoted = F.concat(F.lit('"'), F.substring("text", 1, 40), F.lit('", "a;b"'))
+    quoted = F.concat(F.lit('"'), "text", F.lit('", "a;b"\n'))
     both = d.unionByName(d.select((-1 - F.col("doc_id")).alias("doc_id"), quoted.alias("text"), "lang"))
     path = scratch_path(spark, "csv-text")
     write_csv(both, path)
-    return read_csv(spark, path, "doc_id bigint, text string, lang string", multiline=True)
+    return read_quoted_csv(spark, path, "doc_id bigint, text string, lang string")
 
 
 @query("zip_join", sql="""

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins (runtime broadcast only
 # under the size threshold), splits skewed join partitions and coalesces
@@ -73,3 +73,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared checkpoint folder (never reused)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "appraise-scratch", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: computed once, no lineage behind it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
