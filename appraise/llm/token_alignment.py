@@ -6,8 +6,8 @@ For every linked pair of ids the documents that hold it are counted over the cor
 and each document's links are summed up by these counts.
 
 Method: diagonal run skipping. At the current index shift between the two end arrays
-a run of one-to-one tokens is jumped by comparing slices of 1, 2, 4, ... ends, then of
-half the length again until not even one more end agrees. The tokens behind
+a run of one-to-one tokens is jumped by comparing a few ends, then slices of 8, 16, 32, ...
+of them, then of half the length again until not even one more end agrees. The tokens behind
 it are an irregular group: it is walked end by end, which yields its links, until
 the ends meet again; the difference of the tokens it consumed updates the shift.
 
@@ -30,6 +30,7 @@ gives an empty result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -50,53 +51,74 @@ def default_pieces() -> str:
 
 @lru_cache(maxsize=2)
 def _ranked(path: str):
-    """Tokenizer by ranks, the bytes and the decimal form of each of its ids."""
+    """Tokenizer by ranks; bytes, sizes and decimal forms of its ids."""
     encoder = _encoder(path)
     entries = [b""] * encoder.n_vocab
     for token in encoder.token_byte_values():
         entries[encoder.encode_single_token(token)] = token
-    return encoder, entries, [str(i) for i in range(len(entries))], np.array([len(e) for e in entries], np.int64)
+    sizes = np.array([len(e) for e in entries], np.int64)
+    return encoder, entries, sizes, _names(len(entries), ","), _names(len(entries), "|")
 
 
 @lru_cache(maxsize=2)
 def _pieced(path: str):
-    """Tokenizer by pieces, the bytes and the decimal form of each of its ids."""
+    """Tokenizer by pieces; bytes, sizes and decimal forms of its ids."""
     import sentencepiece
     pieces = sentencepiece.SentencePieceProcessor(model_file=path)
     entries = [bytes([int(pieces.id_to_piece(i)[3:5], 16)]) if pieces.is_byte(i)
                else pieces.id_to_piece(i).replace("▁", " ").encode() for i in range(pieces.get_piece_size())]
-    return pieces, entries, [str(i) for i in range(len(entries))], np.array([len(e) for e in entries], np.int64)
+    sizes = np.array([len(e) for e in entries], np.int64)
+    return pieces, entries, sizes, _names(len(entries), ","), _names(len(entries), ";")
 
 
-def diagonal_runs(ends_a: np.ndarray, ends_b: np.ndarray):
-    """Groups as (from_a, to_a, from_b, to_b, one_to_one) and the links (places in a, places in b).
+PROBE = 8                   # ends compared one by one before slices are
 
-    Both arrays rise and end at the same value. A group with ``one_to_one`` stands for
-    to_a - from_a groups of one token each.
+
+@dataclass
+class Aligned:
+    """Groups of two end arrays: their last tokens on either side, and the links as places in a and in b."""
+    last_a: np.ndarray
+    last_b: np.ndarray
+    link_a: np.ndarray
+    link_b: np.ndarray
+
+    @property
+    def n_groups(self) -> int:
+        return int(self.last_a.sum())
+
+
+def diagonal_runs(ends_a: np.ndarray, ends_b: np.ndarray) -> Aligned:
+    """Align two rising arrays that end at the same value.
+
+    Runs of one-to-one tokens and irregular groups take turns; a run is kept as its
+    bounds, an irregular group by its links and last tokens.
     """
     raw_a, raw_b = ends_a.astype("<u8").tobytes(), ends_b.astype("<u8").tobytes()
     a, b = ends_a.tolist(), ends_b.tolist()
-    groups, link_a, link_b = [], [], []
+    run_from, run_to, run_shift, last_a, last_b, link_a, link_b = [], [], [], [], [], [], []
     i = j = 0
     n = len(a)
     while i < n:
         if a[i] == b[j]:
-            from_a, from_b, length, growing = i, j, 1, True
-            i, j = i + 1, j + 1
-            while i < n:
-                if raw_a[8 * i:8 * (i + length)] == raw_b[8 * j:8 * (j + length)]:
-                    i, j = min(i + length, n), j + length
-                    length = 2 * length if growing else length
-                elif length == 1:
-                    break
-                else:
-                    length, growing = length // 2, False
-            j = from_b + i - from_a
-            link_a.extend(range(from_a, i))
-            link_b.extend(range(from_b, j))
-            groups.append((from_a, i, from_b, j, True))
+            start, shift = i, j - i
+            i += 1
+            stop = min(start + PROBE, n)
+            while i < stop and a[i] == b[i + shift]:
+                i += 1
+            if i == stop:
+                length, growing = PROBE, True
+                while length and i < n:
+                    here, there = 8 * i, 8 * (i + shift)
+                    if raw_a[here:here + 8 * length] == raw_b[there:there + 8 * length]:
+                        i = min(i + length, n)
+                        length = 2 * length if growing else length // 2
+                    else:
+                        length, growing = length // 2, False
+            run_from.append(start)
+            run_to.append(i)
+            run_shift.append(shift)
+            j = i + shift
             continue
-        from_a, from_b = i, j
         while True:                     # the shift no longer holds: walk to the next common end
             link_a.append(i)
             link_b.append(j)
@@ -106,36 +128,51 @@ def diagonal_runs(ends_a: np.ndarray, ends_b: np.ndarray):
             elif y < x:
                 j += 1
             else:
-                i, j = i + 1, j + 1
+                last_a.append(i)
+                last_b.append(j)
+                i += 1
+                j += 1
                 break
-        groups.append((from_a, i, from_b, j, False))
-    return groups, link_a, link_b
-
-
-def group_text(groups, a: list[str], b: list[str]) -> tuple[str, int]:
-    """``a1,a2|b1;a3|b2,b3`` and the number of groups."""
-    out = []
-    for from_a, to_a, from_b, to_b, single in groups:
-        if single:
-            out.extend(map("|".join, zip(a[from_a:to_a], b[from_b:to_b])))
-        else:
-            out.append(",".join(a[from_a:to_a]) + "|" + ",".join(b[from_b:to_b]))
-    return ";".join(out), len(out)
+    start, size = np.array(run_from, np.int64), np.array(run_to, np.int64) - np.array(run_from, np.int64)
+    single = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+    paired = single + np.repeat(np.array(run_shift, np.int64), size)
+    is_last_a, is_last_b = np.zeros(n, bool), np.zeros(len(b), bool)
+    is_last_a[single] = is_last_a[last_a] = is_last_b[paired] = is_last_b[last_b] = True
+    return Aligned(is_last_a, is_last_b, np.concatenate([single, np.array(link_a, np.int64)]),
+                   np.concatenate([paired, np.array(link_b, np.int64)]))
+
+
+def _names(size: int, end: str) -> np.ndarray:
+    """Every id in decimal with one character behind it, padded with zero bytes."""
+    return np.array([f"{i}{end}".encode() for i in range(size)])
+
+
+def group_text(found: Aligned, a: np.ndarray, b: np.ndarray, names) -> bytes:
+    """``a1,a2|b1;a3|b2,b3``: every token laid at its place, the padding taken out."""
+    a_more, a_last, b_more, b_last = names
+    before_b = np.concatenate([[0], np.flatnonzero(found.last_b) + 1])      # tokens of b up to each group
+    upto_a = np.flatnonzero(found.last_a) + 1
+    group_a = np.cumsum(found.last_a) - found.last_a
+    group_b = np.cumsum(found.last_b) - found.last_b
+    out = np.zeros(len(a) + len(b), f"S{max(x.dtype.itemsize for x in names)}")
+    out[np.arange(len(a)) + before_b[group_a]] = np.where(found.last_a, a_last[a], a_more[a])
+    out[np.arange(len(b)) + upto_a[group_b]] = np.where(found.last_b, b_last[b], b_more[b])
+    letters = out.view(np.uint8)
+    return letters[letters != 0].tobytes()[:-1]
 
 
 def _document(text: str, ids_b: list[int], first, second):
     """(n_a, n_b, n_groups, groups, sorted pair codes, their multiplicities) of one text."""
     whole = b" " + text.encode()
-    encoder, entries_a, names_a, sizes_a = first
-    _, entries_b, names_b, sizes_b = second
+    encoder, entries_a, sizes_a, *names_a = first
+    _, entries_b, sizes_b, *names_b = second
     ids_a = encoder.encode_ordinary(" " + text)
     if b"".join([entries_b[t] for t in ids_b]) != whole or b"".join([entries_a[t] for t in ids_a]) != whole:
         return None
     a, b = np.array(ids_a), np.array(ids_b)
-    groups, link_a, link_b = diagonal_runs(np.cumsum(sizes_a[a]), np.cumsum(sizes_b[b]))
-    shown, n_groups = group_text(groups, [names_a[t] for t in ids_a], [names_b[t] for t in ids_b])
-    codes, times = np.unique(a[link_a] * len(entries_b) + b[link_b], return_counts=True)
-    return len(a), len(b), n_groups, shown, codes, times
+    found = diagonal_runs(np.cumsum(sizes_a[a]), np.cumsum(sizes_b[b]))
+    codes, times = np.unique(a[found.link_a] * len(entries_b) + b[found.link_b], return_counts=True)
+    return len(a), len(b), found.n_groups, group_text(found, a, b, names_a + names_b), codes, times
 
 
 ALIGNED = pa.schema([("chunk", pa.int64()), ("id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
@@ -183,8 +220,8 @@ def _align(ranks: str, model: str, chunk_bytes: int, shown: bool):
                         rows.append((doc, 0, 0, 0, "", "" if shown else None, None, None))
                     else:
                         n_a, n_b, n_groups, groups, codes, times = found
-                        rows.append((doc, n_a, n_b, n_groups, hashlib.sha256(groups.encode()).hexdigest(),
-                                     groups if shown else None, codes, times))
+                        rows.append((doc, n_a, n_b, n_groups, hashlib.sha256(groups).hexdigest(),
+                                     groups.decode() if shown else None, codes, times))
                     size += len(text)
                     if size >= chunk_bytes or len(rows) >= 1 << 14:
                         yield batch_of(ALIGNED, list(zip(*finish(chunk, rows))))

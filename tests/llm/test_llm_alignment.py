@@ -75,12 +75,12 @@ def test_runs_against_common_ends():
         density = rng.choice([.2, .9, .99])
         common = [n] if rng.random() < .5 else sorted({n, *rng.sample(range(1, n + 1), int(density * n))})
         a, b = (np.array(sorted({*common, *(x for x in range(1, n) if rng.random() < .2)})) for _ in range(2))
-        groups, la, lb = ta.diagonal_runs(a, b)
-        ends = [e for fa, to, *_, single in groups for e in (a[fa:to].tolist() if single else [int(a[to - 1])])]
-        assert ends == sorted(set(a.tolist()) & set(b.tolist()))
+        found = ta.diagonal_runs(a, b)
+        ends = sorted(set(a.tolist()) & set(b.tolist()))
+        assert a[found.last_a].tolist() == b[found.last_b].tolist() == ends and found.n_groups == len(ends)
         want = [(i, j) for i in range(len(a)) for j in range(len(b))
                 if max(a[i - 1] if i else 0, b[j - 1] if j else 0) < min(a[i], b[j])]
-        assert sorted(zip(la, lb)) == want
+        assert sorted(zip(found.link_a.tolist(), found.link_b.tolist())) == want
 
 
 def test_documents(spark, tokenizers):
