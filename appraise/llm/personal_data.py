@@ -1,23 +1,34 @@
 """Personal data: fixed patterns plus a character-level BiLSTM with CRF transitions.
 
-The patterns give the base spans. The model is trained in numpy on the driver
-from a bounded sample of labelled windows around digits and ``@`` (the base spans are
-the labels) and then reads the whole of every text. Windows overlap by half and are decoded one by one; a span cut by a
-window's edge is joined with the pieces that its neighbours found of it. The
-document's spans are then reconciled globally: equal spans from several windows
-add their weights and the heaviest set of spans that do not overlap each other or
-a base span is kept.
-
-Null and empty texts have no spans. Repeated rows are read alike. Empty tables
-give empty results (an untrained model is never asked then); other columns are
-ignored. Positions are code points, ends exclusive.
+The patterns give the base spans. The model is trained in numpy on the driver from a
+bounded sample of labelled documents (``TRAIN_DOCS`` with and as many without a
+digit or ``@``, those of smallest hash): windows whose labels are the base spans,
+plain prose, prose with numbers that are nobody's, and prose into which spans
+spelled otherwise are set (``(at)``, ``dot``, spaces, other separators), made from
+the base spans found and from made-up ones. It then reads the whole of every text.
+
+Reading: windows overlap; both directions run as one batch, each from its own
+end, over tables of 98 rows that hold the input weights. Every window is followed by one
+outside position. A window whose outside labels provably win (a bound from the
+emissions and the transitions) needs no decoding; the others get Viterbi tags
+and marginals. A span cut by a window's edge is joined with the pieces that its
+neighbours found of it. The document's spans are then reconciled globally: equal spans
+from several windows add their weights and the heaviest set of spans that
+do not overlap each other or a base span is kept; equal weights go to the set
+found first by end, then start, then kind.
+
+Null and empty texts have no spans. Rows with a null id and repeated rows are read like
+others. Long texts are cut into windows, never shortened. Empty tables give empty
+results; other columns are ignored. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +37,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from appraise.llm.common import batch_of, binary_rows, documents, id_of, real_id, text_of
 
 KINDS = ("email", "ip", "card", "phone")
-TRIGGER = re.compile("[0-9@]+")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # Runs of digits are tried once, from their first digit: linear in the text.
@@ -34,10 +44,12 @@ IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-WINDOW, STRIDE = 64, 32
-TRAIN_WINDOWS = 3000        # most labelled windows the driver trains on
-STEPS, BATCH, HIDDEN, EMBED = 240, 48, 16, 12
-MIN_CONFIDENCE = 0.95       # mean probability of a span's labels
+WINDOW, STRIDE = 512, 448
+BATCH_WINDOWS = 512             # windows read at a time
+TRAIN_WINDOW = 96
+TRAIN_DOCS = 1500               # of either sort: the bound of the labelled sample
+STEPS, BATCH, HIDDEN, EMBED = 400, 64, 12, 12
+MIN_CONFIDENCE = 0.9            # mean probability of a span's labels
 MIN_LENGTH = {"email": 6, "ip": 7, "card": 12, "phone": 8}
 N_TAGS = 1 + 2 * len(KINDS)     # O, then B and I of each kind
 N_CHARS = 98                    # 32..126, newline and tab, other letters, padding
@@ -94,24 +106,15 @@ def char_ids(text: str) -> np.ndarray:
     return np.where((c >= 32) & (c < 127), c - 32, np.where(c < 32, 95, 96))
 
 
-def window_starts(text: str) -> list[int]:
-    """Starts (multiples of the stride) of the windows that touch a digit or ``@``."""
-    out: set[int] = set()
-    for m in TRIGGER.finditer(text):
-        first = max(0, (m.start() - WINDOW) // STRIDE + 1)
-        out.update(range(first, (m.end() - 1) // STRIDE + 1))
-    return sorted(s * STRIDE for s in out)
-
-
 def all_starts(text: str) -> list[int]:
     """Starts of overlapping windows over the whole text."""
     return list(range(0, max(1, len(text) - WINDOW + STRIDE), STRIDE)) if text else []
 
 
-def tags_of(spans: list[tuple[int, int, int]], start: int) -> np.ndarray:
-    out = np.zeros(WINDOW, np.int64)
+def tags_of(spans: list[tuple[int, int, int]], start: int, size: int) -> np.ndarray:
+    out = np.zeros(size, np.int64)
     for s, k, e in spans:
-        a, b = max(s, start), min(e, start + WINDOW)
+        a, b = max(s, start), min(e, start + size)
         if a < b:
             out[a - start:b - start] = 2 + 2 * k
             if s >= start:
@@ -119,8 +122,98 @@ def tags_of(spans: list[tuple[int, int, int]], start: int) -> np.ndarray:
     return out
 
 
-def pad(ids: np.ndarray) -> np.ndarray:
-    return np.concatenate((ids, np.full(WINDOW - len(ids), N_CHARS - 1)))
+# --- lessons: labelled windows ----------------------------------------------
+
+AT = (" (at) ", "(at)", " [at] ", "[at]", " at ", " AT ", " {at} ", " @ ", "_at_")
+DOT = (" (dot) ", " [dot] ", " dot ", "[dot]", "(dot)", " . ", " DOT ", "_dot_")
+IP_DOT = ("[.]", " . ", "(.)", " dot ", "[dot]", ". ")
+CARD_GAP = (".", "/", "_", "  ", " - ", " / ")
+PHONE_GAP = ("/", "_", " / ", "//")
+
+
+def _word(r: random.Random, low: int = 3, high: int = 9) -> str:
+    return "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(low, high)))
+
+
+def _card(r: random.Random) -> str:
+    digits = [r.randint(0, 9) for _ in range(r.choice((15, 16, 16, 19)))]
+    last = sum(n - 9 if (n := d * (2 if i % 2 == 0 else 1)) > 9 else n for i, d in enumerate(reversed(digits)))
+    return "".join(map(str, digits)) + str(-last % 10)
+
+
+def invented(r: random.Random, kind: int) -> str:
+    """A base span of a kind with nobody behind it."""
+    if kind == 0:
+        return f"{_word(r)}{r.choice(('', '.', '_'))}{_word(r, 2, 6)}@{_word(r)}.{r.choice(('com', 'org', 'net', 'de', 'fr', 'io'))}"
+    if kind == 1:
+        return ".".join(str(r.randint(0, 255)) for _ in range(4))
+    if kind == 2:
+        return _card(r)
+    return f"+{r.randint(1, 99)} {r.randint(10, 9999)} {r.randint(1000, 9999999)}"
+
+
+def disguise(r: random.Random, kind: int, value: str) -> str:
+    """A base span spelled so that the patterns miss it."""
+    if kind == 0:
+        local, _, domain = value.partition("@")
+        dot = r.choice(DOT)
+        return (local.replace(".", dot) if r.random() < 0.3 else local) + r.choice(AT) + dot.join(domain.split("."))
+    if kind == 1:
+        return r.choice(IP_DOT).join(value.split("."))
+    digits = re.sub("[^0-9]", "", value)
+    if kind == 2:
+        return r.choice(CARD_GAP).join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    gap, at, parts = r.choice(PHONE_GAP), r.randint(1, 3), []
+    while at < len(digits):
+        step = r.randint(2, 4)
+        parts.append(digits[at:at + step])
+        at += step
+    return r.choice(("+", "00", "+")) + digits[:len(digits) - sum(map(len, parts))] + gap + gap.join(parts)
+
+
+def harmless(r: random.Random) -> str:
+    """Numbers and words that look like personal data and are none."""
+    n = r.randint
+    return r.choice((
+        f"{n(1, 31)}.{n(1, 12)}.{n(1900, 2030)}", f"{n(0, 23)}:{n(10, 59)}", f"{n(1, 9)}.{n(0, 99)}", f"{n(1, 999)},{n(100, 999)}.{n(10, 99)}",
+        f"{n(1900, 2030)}-{n(10, 12)}-{n(10, 28)}", f"{n(1, 9)}.{n(0, 9)}.{n(0, 20)}", f"{n(10, 99)}/{n(10, 99)}", f"{n(1000, 99999999)}",
+        f"at {n(1, 12)}", f"{_word(r)} at {_word(r)}", f"the dot {_word(r)}", f"{n(10, 99)} - {n(10, 99)}", f"({n(1, 99)})", f"{n(1, 99)} %"))
+
+
+def _set_in(r: random.Random, prose: str, insert: str) -> tuple[str, int]:
+    """A window of prose with the insert somewhere, now and then over an edge; where it starts."""
+    at = r.randint(-len(insert) // 3, TRAIN_WINDOW - 2 * len(insert) // 3) if r.random() < 0.2 else \
+        r.randint(0, max(0, TRAIN_WINDOW - len(insert)))
+    gap = r.choice((" ", " ", "\n", ": ", ", ", " ("))
+    left, right = (prose[:max(0, at)] + gap)[-max(0, at):] if at > 0 else "", r.choice((" ", ". ", ", ", "\n", ")")) + prose[max(0, at):]
+    whole = left + insert[max(0, -at):] + right
+    return whole[:TRAIN_WINDOW].ljust(TRAIN_WINDOW, "\n"), at
+
+
+def lessons(texts: list[str], seed: int = 7) -> list[tuple[str, np.ndarray]]:
+    """Labelled windows made from a sample of texts."""
+    r, out, seen, prose = random.Random(seed), [], [[], [], [], []], []
+    for text in texts:
+        base = base_spans(text)
+        for s, k, e in base[:20]:
+            seen[k].append(text[s:e])
+        for s, _, e in base[:3]:
+            at = max(0, min(s - r.randint(0, TRAIN_WINDOW // 2), len(text) - TRAIN_WINDOW))
+            out.append((text[at:at + TRAIN_WINDOW].ljust(TRAIN_WINDOW, "\n"), tags_of(base, at, TRAIN_WINDOW)))
+        at = r.randint(0, max(0, len(text) - TRAIN_WINDOW))
+        window = text[at:at + TRAIN_WINDOW].ljust(TRAIN_WINDOW, "\n")
+        out.append((window, tags_of(base, at, TRAIN_WINDOW)))
+        if not out[-1][1].any():
+            prose.append(window)
+    for i in range(2 * len(prose)):
+        if i % 3 == 2:
+            out.append((_set_in(r, r.choice(prose), harmless(r))[0], np.zeros(TRAIN_WINDOW, np.int64)))
+            continue
+        kind = i % 4
+        value = disguise(r, kind, r.choice(seen[kind]) if seen[kind] and r.random() < 0.5 else invented(r, kind))
+        window, at = _set_in(r, r.choice(prose), value)
+        out.append((window, tags_of([(at, kind, at + len(value))], 0, TRAIN_WINDOW)))
+    return out
 
 
 def new_model(seed: int = 5) -> dict[str, np.ndarray]:
@@ -250,12 +343,12 @@ def gradients(m: dict, ids: np.ndarray, gold: np.ndarray) -> tuple[float, dict]:
     return float((z - path).mean()), out
 
 
-def train(windows: list[tuple[str, list[int]]], steps: int = STEPS, seed: int = 5) -> dict[str, np.ndarray]:
-    """Adam on seeded batches of labelled windows (text, tags)."""
+def train(windows: list[tuple[str, np.ndarray]], steps: int = STEPS, seed: int = 5) -> dict[str, np.ndarray]:
+    """Adam on seeded batches of labelled windows (text, tags) of equal length."""
     m = new_model(seed)
     if not windows:
         return m
-    ids = np.stack([pad(char_ids(t)) for t, _ in windows])
+    ids = np.stack([char_ids(t) for t, _ in windows])
     gold = np.array([g for _, g in windows], np.int64)
     r = np.random.default_rng(seed)
     first = {k: np.zeros_like(v) for k, v in m.items()}
@@ -274,21 +367,83 @@ def train(windows: list[tuple[str, list[int]]], steps: int = STEPS, seed: int =
     return m
 
 
-def decode(m: dict, ids: np.ndarray) -> list[list[tuple[int, int, int, float]]]:
-    """Per window: (start, kind, end, mean probability) of its tagged spans."""
-    em = emissions(m, ids)
-    tags, p = viterbi(em, m["trans"]), marginals(em, m["trans"])[0]
-    out: list[list[tuple[int, int, int, float]]] = [[] for _ in ids]
-    for w in np.flatnonzero(tags.any(axis=1)):
+def read_emissions(m: dict, rows: list[np.ndarray]) -> np.ndarray:
+    """(T + 1, B, tags) scores of windows of any lengths; behind its end a window is outside.
+
+    Both directions are one batch and begin at the window's own ends, so a window's scores
+    do not depend on the others. The sigmoids are taken as tanh of half the input,
+    with the halves in the tables.
+    """
+    sizes = np.array([len(r) for r in rows])
+    t, b, h = int(sizes.max()), len(rows), HIDDEN
+    ids = np.full((2, t, b), N_CHARS - 1)
+    for i, row in enumerate(rows):
+        ids[0, :len(row), i], ids[1, :len(row), i] = row, row[::-1]
+    half = np.where(np.arange(4 * h) < 3 * h, 0.5, 1).astype(np.float32)
+    table = np.concatenate([(m["emb"] @ m["w" + d] + m["b" + d]) * half for d in "fb"]).astype(np.float32)
+    u = np.stack([m["u" + d] * half for d in "fb"]).astype(np.float32)
+    ids[1] += N_CHARS
+    state, cell = np.zeros((2, b, h), np.float32), np.zeros((2, b, h), np.float32)
+    out = np.empty((t, 2, b, h), np.float32)
+    for i in range(t):
+        g = table[ids[:, i]]
+        g += state @ u
+        np.tanh(g, out=g)
+        gates = g[:, :, :3 * h]
+        gates *= 0.5
+        gates += 0.5
+        cell *= gates[:, :, :h]
+        cell += gates[:, :, h:2 * h] * g[:, :, 3 * h:]
+        np.multiply(gates[:, :, 2 * h:], np.tanh(cell), out=out[i])
+        state = out[i]
+    em = np.zeros((t + 1, b, N_TAGS), np.float32)
+    w = m["out"].astype(np.float32)
+    back = (out[:, 1].reshape(-1, h) @ w[h:]).reshape(t, b, N_TAGS)
+    em[:t] = (out[:, 0].reshape(-1, h) @ w[:h] + m["bias"]).reshape(t, b, N_TAGS)
+    at = sizes[None] - 1 - np.arange(t)[:, None]
+    em[:t] += back[np.maximum(at, 0), np.arange(b)]
+    em[np.arange(t + 1)[:, None] >= sizes] = [0, *[-1e4] * (N_TAGS - 1)]
+    return em
+
+
+def may_hold_spans(em: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """Windows where some path with a span could beat the outside path: an upper bound for each."""
+    lead = em[:, :, 1].copy()
+    for k in range(2, N_TAGS):
+        np.maximum(lead, em[:, :, k], out=lead)
+    lead -= em[:, :, 0]
+    outside = trans[0, 0]
+    enter, stay, leave = trans[0, 1:].max() - outside, trans[1:, 1:].max() - outside, trans[1:, 0].max() - outside
+    run, top = lead[0].copy(), lead[0].copy()
+    for i in range(1, len(em)):
+        run += stay
+        np.maximum(run, enter, out=run)
+        run += lead[i]
+        np.maximum(top, run, out=top)
+    return top + leave > -1e-3
+
+
+def decode(m: dict, rows: list[np.ndarray]) -> list[list[tuple[int, int, int, float]]]:
+    """Per window of character ids: (start, kind, end, mean probability) of its tagged spans."""
+    out: list[list[tuple[int, int, int, float]]] = [[] for _ in rows]
+    em = read_emissions(m, rows)
+    some = np.flatnonzero(may_hold_spans(em, m["trans"]))
+    if not len(some):
+        return out
+    em = em[:, some]
+    tags = viterbi(em, m["trans"])
+    marked = np.flatnonzero(tags.any(axis=1))
+    p = marginals(em[:, marked], m["trans"])[0] if len(marked) else None
+    for lane, w in enumerate(marked):
         row, at = tags[w], 0
-        while at < WINDOW:
+        while at < len(rows[some[w]]):
             if not row[at]:
                 at += 1
                 continue
             kind, end = (row[at] - 1) // 2, at + 1
-            while end < WINDOW and row[end] == 2 + 2 * kind:
+            while row[end] == 2 + 2 * kind:             # the position behind the window is outside
                 end += 1
-            out[w].append((at, int(kind), end, float(p[np.arange(at, end), w, row[at:end]].mean())))
+            out[some[w]].append((at, int(kind), end, float(p[np.arange(at, end), lane, row[at:end]].mean())))
             at = end
     return out
 
@@ -299,9 +454,11 @@ def reconcile(found: list[tuple[int, int, int, float]], base: list[tuple[int, in
     for s, k, e, p in found:
         weight[s, k, e] = weight.get((s, k, e), 0.0) + p * (e - s)
     taken = sorted((s, e) for s, _, e in base)
+    reach = list(accumulate((e for _, e in taken), max))        # furthest end up to each base span
     free = []
     for s, k, e in sorted(weight, key=lambda x: (x[2], x)):
-        if not any(a < e and s < b for a, b in taken[max(0, bisect_right(taken, (e,)) - 8):bisect_right(taken, (e,))]):
+        before = bisect_left(taken, (e,))                       # base spans that start before this one ends
+        if not before or reach[before - 1] <= s:
             free.append((s, k, e))
     ends, best, pick = [e for _, _, e in free], [0.0], []
     for i, x in enumerate(free):
@@ -351,18 +508,19 @@ def read_texts(m: dict, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     bases = [base_spans(t) for t in texts]
     found: list[list] = [[] for _ in texts]
 
+    letters = [char_ids(t) for t in texts]
+
     def read(where):
-        rows = [pad(char_ids(texts[i][s:s + WINDOW])) for i, s in where]
-        for (i, s), spans in zip(where, decode(m, np.stack(rows))):
+        where = sorted(where, key=lambda x: -min(WINDOW, len(texts[x[0]]) - x[1]))
+        for (i, s), spans in zip(where, decode(m, [letters[i][s:s + WINDOW] for i, s in where])):
             size = len(texts[i])
-            found[i] += [(s + a, k, min(s + e, size), p, a == 0 and s > 0, e == WINDOW and s + e < size)
-                         for a, k, e, p in spans if s + a < size]
+            found[i] += [(s + a, k, s + e, p, a == 0 and s > 0, e == WINDOW and s + e < size) for a, k, e, p in spans]
 
     where = []
     for i, t in enumerate(texts):
         for s in all_starts(t):
             where.append((i, s))
-            if len(where) == 512:
+            if len(where) == BATCH_WINDOWS:
                 read(where)
                 where = []
     if where:
@@ -375,32 +533,19 @@ def read_texts(m: dict, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     return out
 
 
-WINDOWS = pa.schema([("rank", pa.int64()), ("text", pa.string()), ("tags", pa.list_(pa.int64()))])
 RESULT = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS),
                     ("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64())])
 RESULT_DDL = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
               "spans string, n_added long")
 
 
-def _labelled(batches):
-    for b in batches:
-        rows = []
-        for doc, raw in zip(b.column("_id").to_pylist(), binary_rows(b.column("_text"))):
-            text = raw.decode()
-            base = base_spans(text)
-            for s in window_starts(text):
-                rank = int.from_bytes(hashlib.blake2b(f"{doc}:{s}".encode(), digest_size=7).digest(), "big")
-                rows.append((rank, text[s:s + WINDOW], tags_of(base, s).tolist()))
-        yield batch_of(WINDOWS, [list(c) for c in zip(*rows)] if rows else [[], [], []])
-
-
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        most: int = TRAIN_WINDOWS) -> dict[str, np.ndarray]:
-    """Train on the ``most`` labelled windows with the smallest hash, over all documents."""
-    rows = docs.select(id_of(id_col).alias("_id"), text_of(text_col).alias("_text")).where(
-        F.col("_text").rlike("[0-9@]")).mapInArrow(_labelled, "rank long, text string, tags array<long>")
-    sample = rows.orderBy("rank", "text").limit(most).collect()
-    return train([(r["text"], r["tags"]) for r in sample])
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> dict[str, np.ndarray]:
+    """Train on lessons from the ``most`` documents of smallest hash that hold a digit or ``@``, and as many that do not."""
+    rows = docs.select(text_of(text_col).alias("_text"), F.xxhash64(id_of(id_col), text_of(text_col)).alias("_rank")) \
+        .where(F.col("_text") != "")
+    some = F.col("_text").rlike("[0-9@]")
+    texts = [r["_text"] for part in (some, ~some) for r in rows.where(part).orderBy("_rank", "_text").limit(most).collect()]
+    return train(lessons(texts))
 
 
 def find(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
