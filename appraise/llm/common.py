@@ -52,6 +52,19 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def one_thread() -> None:
+    """Keep numpy's linear algebra to one thread: a task has one core, and further threads only wait on it."""
+    import ctypes
+    import glob
+    import os
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), os.pardir, "numpy.libs", "*openblas*")):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_",
+                     "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

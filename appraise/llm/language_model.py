@@ -1,20 +1,29 @@
 """Document log-likelihood under a gated recurrent word model.
 
 Counts: every training document's words are counted (folded per task, then by
-word). The most frequent words, a bounded head, are shared with the tasks; all
-other words stay in a table and are joined.
+word). The most frequent words, a bounded head of at most ``HEAD``, are shared with
+the tasks; all other words stay in a table and are joined.
 
 Model: a GRU over words with a class-factored softmax. The words of the head
-form classes of equal size by frequency, with a softmax inside each class, and
-have an input row each; all other words, unseen ones included, form a band whose
-inside is the smoothed unigram of the counts. Biases start
-at the corpus frequencies. Weights are trained by truncated backpropagation in
-numpy, in the tasks, on every training document, each task streaming its own in
-chunks, and averaged between rounds, each weight over the tasks that moved it. Scoring carries the state across
-windows, so a score is the whole document's.
+form classes of equal sums of the square roots of their counts, so frequent words sit in
+small classes; each class has a softmax of its own, each word an input row. All other words,
+unseen ones included, form a band whose inside is the smoothed unigram of the
+counts. Biases start at the corpus frequencies.
+
+Training: truncated backpropagation in numpy on every training document, once. The
+documents are dealt to shards by a hash of id and text, about ``SHARD_TOKENS``
+tokens each, and lie there in the order of that hash: the number of shards and what each
+one learns, and so the model, depend on the data alone, not on the cluster's cores or the
+files' layout. A shard is one task's stream of bounded chunks. After a first
+quarter of each shard (by hash) and again at the end the shards' weights are averaged, each
+weight over the shards that moved it, in the order of the shards. A lost executor repeats its
+shard. Rows equal in id and text lie in one shard.
+
+Scoring carries the state across windows, so a score is the whole document's.
 
 Null and empty texts are one end token. Null ids count as the empty string for
-the split. Repeated rows are counted and scored as often as they are listed. An
+the split. Very long texts are one stream of windows. Repeated rows are counted and
+scored as often as they are listed; words of equal count rank by their bytes. An
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -27,20 +36,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from appraise.llm.common import batch_of, binary_rows, cut, documents, id_of, real_id, text_of
-
-CLASSES, MEMBERS = 256, 256 # softmax classes and words in each
-SOFT = CLASSES * MEMBERS
-BANDS = (SOFT,)             # ranks where unigram bands begin: one, of all words outside the head
-HEAD = BANDS[0]             # most words shared with the tasks
-HIDDEN = 24
-LANES, STEPS = 64, 32       # training: parallel streams and tokens between truncations
-CHUNK = 1 << 18             # tokens a task deals to its lanes at a time
-ROUNDS, RATE = 2, 0.1
-SCORE_LANES, SCORE_STEPS = 256, 64
-BLOCK = 2048                # states whose softmax is taken at a time
+from appraise.llm.common import batch_of, binary_rows, cut, documents, id_of, one_thread, real_id, text_of
+
+HEAD = 1 << 16             # most words, the end token among them, with rows of their own
+CLASSES = 128               # softmax classes of the head; one more is the band of all other words
+HIDDEN = 16
+LANES, STEPS = 512, 32      # training: most parallel streams, and tokens between truncations
+LEAST_UPDATES = 128          # a chunk is dealt to so few lanes that it gives this many updates
+CHUNK = 1 << 21             # tokens a task deals to its lanes at a time
+SHARD_TOKENS = 1 << 23
+ROUNDS = (0.25, 0.75)       # shares of each shard between averages
+RATE = 0.1
+SCORE_LANES, SCORE_STEPS = 512, 64
+BLOCK = 1 << 15             # states whose classes are gathered at a time
+NEAR = 1 << 10              # states whose class softmax is taken at a time, near the core
 PIECE = 8192                # weights averaged in one group
-N_CLASSES = CLASSES + len(BANDS)
 END = 0                     # the end token's place in the vocabulary
 
 
@@ -93,7 +103,7 @@ def head_of(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
 
 
 class Vocabulary:
-    """Ranked head words with their counts; place 0 is the end token."""
+    """Ranked head words with their counts; place 0 is the end token, class ``CLASSES`` the band."""
 
     def __init__(self, head: list[tuple[bytes, int]], ends: int, total: int, distinct: int):
         self.words = [w for w, _ in head]
@@ -102,81 +112,102 @@ class Vocabulary:
         n = len(self.counts)
         rest_n, rest_v = total - self.counts.sum(), max(0, distinct - n)
         self.rest_scale = math.log10(rest_n + 0.5 * (rest_v + 1))
-        soft = np.concatenate((self.counts, np.zeros(SOFT - n))).reshape(CLASSES, MEMBERS)
-        there = np.arange(SOFT).reshape(CLASSES, MEMBERS) < n
-        self.class_bias = np.log(np.concatenate((soft.sum(1), [rest_n])) + 0.5)
-        self.class_bias[:CLASSES][~there[:, 0]] = -1e4
-        self.member_bias = np.where(there, np.log(soft + 0.5), -1e4)
+        root = np.cumsum(np.sqrt(self.counts + 1))
+        of = np.minimum((root - root[0]) * CLASSES // (root[-1] * (1 + 1e-9)), CLASSES - 1).astype(np.int64)
+        self.edges = np.searchsorted(of, np.arange(CLASSES + 1))       # class k: words edges[k] to edges[k + 1]
+        self.classes = np.append(of, CLASSES)
+        size = np.bincount(of, self.counts, CLASSES)
+        self.class_bias = np.log(np.append(size, rest_n) + 0.5)
+        self.class_bias[:CLASSES][np.diff(self.edges) == 0] = -1e4
+        top = np.maximum.reduceat(self.counts, np.unique(self.edges[:-1][np.diff(self.edges) > 0]))
+        self.member_bias = np.log(self.counts + 0.5) - np.log(np.repeat(top, np.diff(self.edges)[np.diff(self.edges) > 0]) + 0.5)
 
     def index(self) -> dict[bytes, int]:
         return {w: i + 1 for i, w in enumerate(self.words)}
 
     def class_of(self, ids: np.ndarray) -> np.ndarray:
-        """Class per id; ids past the head belong to the band."""
-        return np.where(ids >= len(self.counts), N_CLASSES - 1, ids // MEMBERS)
-
-    def input_of(self, ids: np.ndarray) -> np.ndarray:
-        """Row of the input table: one per word of the head, one for the band."""
-        return np.where(ids >= len(self.counts), SOFT, ids)
+        """Class per id; the id behind the head's is the band."""
+        return self.classes[ids]
 
 
 def encode(words: list[bytes], index: dict[bytes, int], rest: int) -> np.ndarray:
     get = index.get
     ids = np.fromiter((get(w, rest) for w in words), np.int64, len(words))
-    return np.concatenate((ids, [END]))
+    return np.append(ids, END)
 
 
 # --- the network ----------------------------------------------------------
 
 def new_weights(v: Vocabulary, seed: int = 3) -> dict[str, np.ndarray]:
     r = np.random.default_rng(seed)
-    h = HIDDEN
+    h, n = HIDDEN, len(v.counts)
     return {k: a.astype(np.float32) for k, a in {
-        "x": r.normal(0, 0.1, (SOFT + len(BANDS), 3 * h)), "u": r.normal(0, 0.15, (h, 3 * h)),
-        "b": np.zeros(3 * h), "c": r.normal(0, 0.02, (h, N_CLASSES)), "cb": v.class_bias - v.class_bias.max(),
-        "m": r.normal(0, 0.02, (CLASSES, MEMBERS, h)), "mb": v.member_bias}.items()}
+        "x": r.normal(0, 0.1, (n + 1, 3 * h)), "u": r.normal(0, 0.15, (h, 3 * h)),
+        "c": np.vstack([r.normal(0, 0.02, (h, CLASSES + 1)), v.class_bias - v.class_bias.max()]),
+        "m": np.column_stack([r.normal(0, 0.02, (n, h)), v.member_bias])}.items()}
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+def _one(states: np.ndarray) -> np.ndarray:
+    """States with a one behind them: the last row of ``c`` and column of ``m`` are biases."""
+    return np.column_stack([states, np.ones(len(states), states.dtype)])
 
 
 def step(w: dict, x: np.ndarray, h: np.ndarray):
     """One GRU step for input rows ``x``: the new state and what going back needs."""
     n = HIDDEN
-    a, g = w["x"][x] + w["b"], h @ w["u"]
-    s = _sigmoid(a[:, :2 * n] + g[:, :2 * n])
+    a, g = w["x"][x], h @ w["u"]
+    s = a[:, :2 * n] + g[:, :2 * n]
+    s *= 0.5
+    np.tanh(s, out=s)                           # the sigmoid by tanh of half
+    s *= 0.5
+    s += 0.5
     z, r = s[:, :n], s[:, n:]
-    c = np.tanh(a[:, 2 * n:] + r * g[:, 2 * n:])
-    return z * h + (1 - z) * c, (z, r, c, g[:, 2 * n:], h)
+    c = r * g[:, 2 * n:]
+    c += a[:, 2 * n:]
+    np.tanh(c, out=c)
+    return c + z * (h - c), (z, r, c, g[:, 2 * n:], h)
+
+
+def _exp(x: np.ndarray) -> np.ndarray:
+    """Exponentials in place and their sums by row; rows are shifted only where they could overflow."""
+    if x.max() > 60 or x.max(axis=1).min() < -60:
+        x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    return x.sum(axis=1)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    """In place."""
+    x *= (1 / _exp(x))[:, None]
+    return x
 
 
 def by_class(classes: np.ndarray):
     """(class, rows) of the softmax classes present."""
-    order = np.argsort(classes, kind="stable")
+    order = np.argsort(classes.astype(np.int16), kind="stable")
     edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
     for k in range(CLASSES):
         if edges[k] < edges[k + 1]:
             yield k, order[edges[k]:edges[k + 1]]
 
 
+def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax at one column per row; ``x`` is used up."""
+    rows = np.arange(len(at))
+    total = _exp(x)
+    return np.log(x[rows, at] / total + np.float32(1e-38))
+
+
 def log10_probs(w: dict, v: Vocabulary, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Model log10 probability of each id after its state; rest words up to their inside share."""
-    classes = v.class_of(ids)
-    logits = states @ w["c"] + w["cb"]
-    top = logits.max(axis=1)
-    out = logits[np.arange(len(ids)), classes] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-    out = out.astype(np.float64)
+    classes, states = v.class_of(ids), _one(states)
+    out = np.empty(len(ids))
+    for s in range(0, len(ids), NEAR):
+        out[s:s + NEAR] = _log_share(states[s:s + NEAR] @ w["c"], classes[s:s + NEAR])
     for k, rows in by_class(classes):
-        inner = states[rows] @ w["m"][k].T + w["mb"][k]
-        top = inner.max(axis=1)
-        out[rows] += inner[np.arange(len(rows)), ids[rows] - k * MEMBERS] - top - np.log(
-            np.exp(inner - top[:, None]).sum(axis=1))
+        first, last = v.edges[k], v.edges[k + 1]
+        if last - first > 1:                    # the only word of a class is certain in it
+            out[rows] += _log_share(states[rows] @ w["m"][first:last].T, ids[rows] - first)
     return out / math.log(10)
 
 
@@ -188,8 +219,8 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = No
     """
     if seen is None:
         w = {k: a.copy() for k, a in w.items()}
-        seen = {k: np.full_like(a, 1e-6) for k, a in w.items()}
-    lanes = max(1, min(LANES, len(ids) // (2 * STEPS)))
+        seen = {k: np.full_like(a, START) for k, a in w.items()}
+    lanes = max(1, min(LANES, len(ids) // (LEAST_UPDATES * STEPS)))
     length = (len(ids) - 1) // lanes
     if length < 1:
         return w, 0
@@ -197,69 +228,63 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = No
     h = np.zeros((lanes, HIDDEN), np.float32)
     for at in range(0, length, STEPS):
         t = min(STEPS, length - at)
-        xs = v.input_of(flow[at:at + t])
+        xs = flow[at:at + t]
         kept, states = [], np.empty((t, lanes, HIDDEN), np.float32)
         for i in range(t):
             h, k = step(w, xs[i], h)
             states[i] = h
             kept.append(k)
         flat, goal = states.reshape(-1, HIDDEN), flow[at + 1:at + 1 + t].ravel()
-        classes = v.class_of(goal)
-        g = {"u": np.zeros_like(w["u"])}        # by weight, or by weight and the rows it moves
-        d = _softmax(flat @ w["c"] + w["cb"])
-        d[np.arange(len(goal)), classes] -= 1
-        g["c"], g["cb"] = flat.T @ d, d.sum(0)
-        dflat = d @ w["c"].T
+        classes, one = v.class_of(goal), _one(flat)
+        g = {}                                  # by weight, or by weight and the rows it moves
+        g["c"], dflat, out = np.zeros_like(w["c"]), np.empty_like(flat), w["c"][:HIDDEN].T.copy()
+        for s in range(0, len(goal), NEAR):
+            d = _softmax(one[s:s + NEAR] @ w["c"])
+            d[np.arange(len(d)), classes[s:s + NEAR]] -= 1
+            g["c"] += one[s:s + NEAR].T @ d
+            np.matmul(d, out, out=dflat[s:s + NEAR])
         for k, rows in by_class(classes):
-            e = _softmax(flat[rows] @ w["m"][k].T + w["mb"][k])
-            e[np.arange(len(rows)), goal[rows] - k * MEMBERS] -= 1
-            g["m", k], g["mb", k] = e.T @ flat[rows], e.sum(0)
-            dflat[rows] += e @ w["m"][k]
+            part = slice(v.edges[k], v.edges[k + 1])
+            if part.stop - part.start < 2:
+                continue
+            mine = one[rows]
+            e = _softmax(mine @ w["m"][part].T)
+            e[np.arange(len(rows)), goal[rows] - part.start] -= 1
+            g["m", k] = e.T @ mine
+            dflat[rows] += e @ w["m"][part, :HIDDEN]
         dstates, dh = dflat.reshape(t, lanes, HIDDEN), np.zeros((lanes, HIDDEN), np.float32)
-        das = np.empty((t, lanes, 3 * HIDDEN), np.float32)
+        das, dgs = np.empty((2, t, lanes, 3 * HIDDEN), np.float32)
+        back = w["u"].T.copy()
         for i in range(t - 1, -1, -1):
             z, r, c, gn, last = kept[i]
             dh = dh + dstates[i]
-            dc = dh * (1 - z) * (1 - c * c)
-            dr = dc * gn * r * (1 - r)
-            dz = dh * (last - c) * z * (1 - z)
-            das[i] = np.concatenate((dz, dr, dc), axis=1)
-            dg = np.concatenate((dz, dr, dc * r), axis=1)
-            g["u"] += last.T @ dg
-            dh = dh * z + dg @ w["u"].T
-        da = das.reshape(-1, 3 * HIDDEN)
-        g["b"] = da.sum(0)
-        order = np.argsort(xs, axis=None, kind="stable")
+            dc = dh * (1 - z)
+            dc *= 1 - c * c
+            da, dg = das[i], dgs[i]
+            da[:, :HIDDEN] = dh * (last - c) * (z * (1 - z))
+            da[:, HIDDEN:2 * HIDDEN] = dc * gn * (r * (1 - r))
+            da[:, 2 * HIDDEN:] = dc
+            dg[:, :2 * HIDDEN] = da[:, :2 * HIDDEN]
+            dg[:, 2 * HIDDEN:] = dc * r
+            dh = dh * z + dg @ back
+        g["u"] = np.concatenate([kept[0][4], flat[:-lanes]]).T @ dgs.reshape(-1, 3 * HIDDEN)
+        order = np.argsort(xs.ravel().astype(np.uint16 if len(v.counts) < 1 << 16 else np.int64), kind="stable")
         inputs, first = np.unique(xs.ravel()[order], return_index=True)
-        g["x", None] = np.add.reduceat(da[order], first, axis=0)
+        g["x", None] = np.add.reduceat(das.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
         norm = math.sqrt(sum(float((a * a).sum()) for a in g.values())) / len(goal)
         scale = min(1.0, 1.0 / (norm + 1e-9)) / len(goal)
-        for k, a in g.items():                 # Adagrad
-            name, at_rows = k if isinstance(k, tuple) else (k, slice(None))
-            at_rows = inputs if name == "x" else at_rows
-            a = a * np.float32(scale)
-            s = seen[name][at_rows] + a * a
-            seen[name][at_rows] = s
-            w[name][at_rows] -= RATE * a / np.sqrt(s + 1e-8)
+        for key, a in g.items():               # Adagrad
+            name, k = key if isinstance(key, tuple) else (key, None)
+            rows = inputs if name == "x" else slice(None) if k is None else slice(v.edges[k], v.edges[k + 1])
+            a *= np.float32(scale)
+            s = seen[name][rows] + a * a
+            seen[name][rows] = s
+            w[name][rows] -= RATE * a / np.sqrt(s + 1e-8)
     if lanes * length < len(ids) - 1:          # fewer than there are lanes
         train_stream(w, v, ids[lanes * length:], seen)
     return w, len(ids) - 1
 
 
-def chunks(batches, index: dict[bytes, int], rest: int):
-    """The token stream of a ``_text`` column in bounded chunks of whole documents, each after an end token."""
-    held, n = [], 0
-    for b in batches:
-        for text in binary_rows(b.column("_text")):
-            held.append(encode(text.lower().split(), index, rest))
-            n += len(held[-1])
-            if n >= CHUNK:
-                yield np.concatenate([[END], *held])
-                held, n = [], 0
-    if held:
-        yield np.concatenate([[END], *held])
-
-
 def flatten(w: dict) -> np.ndarray:
     return np.concatenate([w[k].ravel() for k in sorted(w)])
 
@@ -273,48 +298,99 @@ def unflatten(flat: np.ndarray, like: dict) -> dict:
     return out
 
 
-PIECES = pa.schema([("piece", pa.int32()), ("values", pa.binary()), ("n", pa.float64())])
+PIECES = pa.schema([("piece", pa.int32()), ("shard", pa.int32()), ("values", pa.binary()), ("n", pa.float64())])
+PIECES_DDL = "piece int, shard int, values binary, n double"
 START = np.float32(1e-6)    # of the squared gradients
+ENCODED = pa.schema([("shard", pa.int32()), ("part", pa.int8()), ("order", pa.int64()), ("ids", pa.binary())])
+ENCODED_DDL = "shard int, part byte, order long, ids binary"
 
 
-def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Rounds of task-local training and averaging; ``docs`` holds ``_text`` of the training documents.
+def _encoded(v: Vocabulary, shards: int):
+    """Documents as ids, with their shard, round and place there, all from one hash."""
+    def run(batches):
+        index, rest = v.index(), len(v.counts)
+        kind = np.uint16 if rest < 1 << 16 else np.uint32
+        bounds = np.cumsum(ROUNDS)[:-1]
+        for b in batches:
+            hashes = b.column("h").to_numpy().view(np.uint64)
+            part = np.searchsorted(bounds, (hashes >> np.uint64(40)) / 2.0 ** 24, "right")
+            ids = [encode(t.lower().split(), index, rest).astype(kind).tobytes() for t in binary_rows(b.column("_text"))]
+            yield batch_of(ENCODED, [(hashes % np.uint64(shards)).astype(np.int32), part.astype(np.int8),
+                                     hashes.view(np.int64), ids])
+    return run
+
+
+def chunks(rows, kind):
+    """Token streams of bounded size from documents' ids, each stream after an end token."""
+    held, n = [], 0
+    for ids in rows:
+        held.append(np.frombuffer(ids, kind).astype(np.int64))
+        n += len(held[-1])
+        if n >= CHUNK:
+            yield np.concatenate([[END], *held])
+            held, n = [], 0
+    if held:
+        yield np.concatenate([[END], *held])
+
 
-    One task per core of the cluster: what they send grows with the weights and the cores, not the input.
+def train(docs: DataFrame, v: Vocabulary, shard_tokens: int = SHARD_TOKENS) -> dict[str, np.ndarray]:
+    """Rounds of training by shard and averaging; ``docs`` holds ``_text`` and a hash ``h`` of the training documents.
+
+    What the shards send grows with their number, that is with the tokens: a shard's
+    moved weights (17 MB at most) for every ``SHARD_TOKENS`` tokens and round.
     """
     w = new_weights(v)
-    docs = docs.coalesce(docs.sparkSession.sparkContext.defaultParallelism)
-    for _ in range(rounds):
+    shards = max(1, math.ceil(v.total / shard_tokens))
+    kind = np.uint16 if len(v.counts) < 1 << 16 else np.uint32
+    dealt = cut(docs.select("_text", "h").mapInArrow(_encoded(v, shards), ENCODED_DDL), "tokens")
+
+    for part in range(len(ROUNDS)):
         def local(batches, w=w):
-            mine = {k: a.copy() for k, a in w.items()}
-            seen, n = {k: np.full_like(a, START) for k, a in w.items()}, 0
-            for ids in chunks(batches, v.index(), len(v.counts)):
+            one_thread()
+            mine, seen, n, shard = None, None, 0, None
+
+            def rows():
+                nonlocal shard
+                for b in batches:
+                    if len(b):
+                        shard = b.column("shard")[0].as_py()
+                        yield from (i.as_py() for i in b.column("ids"))
+            for ids in chunks(rows(), kind):
+                if mine is None:
+                    mine = {k: a.copy() for k, a in w.items()}
+                    seen = {k: np.full_like(a, START) for k, a in w.items()}
                 n += train_stream(mine, v, ids, seen)[1]
-            flat = flatten(mine)
-            if n and np.isfinite(flat).all():
+            if n and all(np.isfinite(a).all() for a in mine.values()):
+                flat = flatten(mine)
                 flat[flatten(seen) == START] = np.nan       # not moved here
                 for i, a in enumerate(range(0, len(flat), PIECE)):
-                    part = flat[a:a + PIECE]
-                    if not np.isnan(part).all():
-                        yield batch_of(PIECES, [[i], [part.tobytes()], [float(n)]])
+                    values = flat[a:a + PIECE]
+                    if not np.isnan(values).all():
+                        yield batch_of(PIECES, [[i], [shard], [values.tobytes()], [float(n)]])
 
         def average(batches):
-            sums: dict[int, list] = {}
+            """Pieces come by (piece, shard), so the sums are taken in one order."""
+            now, x, n = None, None, None
+
+            def done():
+                return batch_of(PIECES, [[now], [0], [np.where(n > 0, x / np.maximum(n, 1), np.nan).astype(np.float32).tobytes()], [1.0]])
             for b in batches:
-                for piece, values, n in zip(*(c.to_pylist() for c in b.columns)):
-                    x = np.frombuffer(values, np.float32).astype(np.float64)
-                    moved = ~np.isnan(x)
-                    old = sums.setdefault(piece, [np.zeros(len(x)), np.zeros(len(x))])
-                    old[0] += np.where(moved, x, 0) * n
-                    old[1] += moved * n
-            for piece, (x, n) in sums.items():
-                mean = np.where(n > 0, x / np.maximum(n, 1), np.nan).astype(np.float32)
-                yield batch_of(PIECES, [[piece], [mean.tobytes()], [float(n.max())]])
-
-        parts = docs.mapInArrow(local, "piece int, values binary, n double").repartition("piece").mapInArrow(
-            average, "piece int, values binary, n double").collect()
+                for piece, values, weight in zip(*(b.column(c).to_pylist() for c in ("piece", "values", "n"))):
+                    mine = np.frombuffer(values, np.float32).astype(np.float64)
+                    if piece != now:
+                        if now is not None:
+                            yield done()
+                        now, x, n = piece, np.zeros(len(mine)), np.zeros(len(mine))
+                    moved = ~np.isnan(mine)
+                    x += np.where(moved, mine, 0) * weight
+                    n += moved * weight
+            if now is not None:
+                yield done()
+
+        streams = dealt.where(F.col("part") == part).repartitionById(shards, F.col("shard")).sortWithinPartitions("order", "ids")
+        pieces = streams.mapInArrow(local, PIECES_DDL).repartition("piece").sortWithinPartitions("piece", "shard")
         flat = flatten(w)
-        for r in parts:
+        for r in pieces.mapInArrow(average, PIECES_DDL).collect():
             x = np.frombuffer(r["values"], np.float32)
             old = flat[r["piece"] * PIECE:][:len(x)]
             np.copyto(old, x, where=~np.isnan(x))
@@ -341,7 +417,7 @@ def score_ids(w: dict, v: Vocabulary, docs: list[np.ndarray]) -> np.ndarray:
             for j in range(n):
                 part = docs[lanes[j]][start:start + steps]
                 ids[j, :len(part)] = part
-            xs = v.input_of(np.concatenate((last[:n, None], ids[:, :-1]), axis=1))
+            xs = np.concatenate((last[:n, None], ids[:, :-1]), axis=1)
             h, states, lane, goal = h[:n], [], [], []
             for s in range(steps):
                 k = live[s]
@@ -367,6 +443,7 @@ SCORED_DDL = ("_id long, held_out boolean, n_tokens long, known long, base doubl
 
 def _score(w: dict, v: Vocabulary):
     def run(batches):
+        one_thread()
         index, n_head = v.index(), len(v.counts)
         logs = np.log10(v.counts + 0.5)
         for b in batches:
@@ -394,7 +471,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = learn.count()
     v = Vocabulary(head_of(counts, HEAD - 1), ends, sums["n"] + ends, sums["v"] + (ends > 0))
-    w = train(learn.select("_text"), v)
+    w = train(learn.select("_text", F.xxhash64("_id", "_text").alias("h")), v)
     part = cut(rows.mapInArrow(_score(w, v), SCORED_DDL).withColumn("_row", F.monotonically_increasing_id()), "scores")
     rest = part.select("_row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select(
         "_row", F.col("x.rest").alias("word"), F.col("x.times").alias("n"))

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from appraise.llm.common import batch_of, cut, shuffle_width
+from appraise.llm.common import batch_of, cut, one_thread, shuffle_width
 
 NEIGHBOURS = 10
 DIMENSIONS = 8              # even: the chi-square quantile below has a closed form then
@@ -238,6 +238,7 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col
     def project(batches):
         schema = pa.schema([("h", pa.int64()), ("vec", pa.list_(pa.float32() if kind == "array<float>" else pa.float64())),
                             ("ids", pa.list_(pa.int64())), ("isq", pa.bool_()), ("y", pa.list_(pa.float64()))])
+        one_thread()
         table = None
         for b in batches:
             if len(b):
