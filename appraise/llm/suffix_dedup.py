@@ -290,10 +290,27 @@ def removed_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per document: _id, _th, n, removed, spans, sha (of the bytes left).
 
-    Bytes covered by a ``length``-byte string that also starts anywhere else go.
+    Bytes covered by a ``length``-byte string that also starts anywhere else go. Of rows
+    that agree in id and text one goes through the search; all of its windows
+    start in the others too, so its copies need no search of their own.
     """
     whole = keyed(docs, id_col, text_col)
-    parts = shuffle_width(docs.sparkSession)
+    many = cut(whole.groupBy("_id", "_th").agg(F.count("*").alias("_times")).where("_times > 1"), "repeated")
+    if not many.head(1):
+        return _removed(whole, length, gram)
+    single = whole.join(many, ["_id", "_th"], "left_anti")
+    one = whole.join(many, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
+    found = _removed(cut(single.unionByName(one), "distinct-rows"), length, gram).join(many, ["_id", "_th"], "left")
+    gone = F.col("_times").isNotNull() & (F.col("n") >= length)
+    return found.select(
+        "_id", "_th", "n", F.when(gone, F.col("n")).otherwise(F.col("removed")).alias("removed"),
+        F.when(gone, 1).otherwise(F.col("spans")).cast("long").alias("spans"),
+        F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.col("sha")).alias("sha"),
+        F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_times"), F.lit(1)))).alias("_nth")).drop("_nth")
+
+
+def _removed(whole: DataFrame, length: int, gram: int) -> DataFrame:
+    parts = shuffle_width(whole.sparkSession)
     placed = P.with_places(whole, byte_symbols, gram, length, earliest=False)
     mid = cut(placed.mapInArrow(_suffixes(length, gram, parts), MID_DDL), "suffixes")
     spans = (mid.where(f"kind = {RUN}").select("part", "shared", "rest", "left", "ids", "ths", "los", "infos")
