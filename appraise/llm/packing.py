@@ -13,7 +13,10 @@ Ids are those of the tokenizer file ``byte_bpe_50k.json``, whose added tokens ar
 matched inside the text; the same vocabulary as ranks (``byte_bpe_50k.tiktoken``)
 with the added tokens of that file gives the same ids several times faster and is
 what the tasks use (the tests compare the two). Null text is the empty
-document: one end id. Repeated rows are packed as often as they are listed. An
+document: one end id. Null ids are packed and returned as null. Very long texts are cut
+into as many pieces as they need. Documents of equal curve keys are ordered by id, hash of
+the remainder and length, then by a row number, so a third of the table being one
+empty text fills many ranges. Repeated rows are packed as often as they are listed. An
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -206,8 +209,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     spark, ranks = docs.sparkSession, ranks or default_ranks()
     tokens = cut(docs.select(id_of(id_col).alias("_id"), text_of(text_col).alias("_text"))
                  .mapInArrow(_tokenise(ranks, length), TOKENS_DDL), "tokens")
-    order = ("_key", "_id", F.xxhash64("_tail"), "_n")     # whole: a task that runs again packs alike
-    ordered = tokens.repartitionByRange(ranges or 2 * shuffle_width(spark), *order).sortWithinPartitions(*order)
+    # Whole, so that a task that runs again packs alike; rows equal in all but their number still spread over ranges.
+    order = ("_key", "_id", F.xxhash64("_tail"), "_n", "_row")
+    ordered = tokens.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(ranges or 2 * shuffle_width(spark), *order).sortWithinPartitions(*order)
 
     def run(batches):
         rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("_id", "_n", "_crcs", "_tail"))))
