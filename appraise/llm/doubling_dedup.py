@@ -14,7 +14,8 @@ a task and flush crosses the last exchange as its first, the others as settled.
 
 Null texts and texts without words have nothing removed. Repeated rows (same id,
 same text) start at the same place, so neither is earlier than the other. Null
-ids sort first. Empty tables give empty results; other columns are ignored.
+ids sort first; rows of one id but different texts are ordered by place, then by the text's
+hash. Long texts are cut into segments of windows. Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations

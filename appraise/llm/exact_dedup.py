@@ -2,15 +2,18 @@
 
 Each task folds its rows into an index: a cuckoo filter (16-bit fingerprints,
 four slots a bucket, two candidate buckets) whose slots point into a key store.
-A filter hit is verified against the stored 32-byte digest of that slot; a
-better row deletes the old live entry and inserts itself; when an insertion
+The digest stands for the content: a filter hit is verified against the whole SHA-256
+of the normalised text that the slot's bucket stores, not against the text itself. An
+entry takes about 300 bytes of a task's memory, so a partition of a million live
+digests some 300 MB. A better row deletes the old live entry and inserts itself; when an insertion
 finds no free slot the filter doubles and is rebuilt from the stored keys.
 
 Two rounds: every input partition folds its own rows first (so a group of
 copies holding a third of the table leaves one row per partition), then the
 partial winners meet by digest and are folded by the same index.
 
-Null texts count as empty; all empty texts are one group. Of rows repeated in
+Null texts count as empty; all empty texts are one group. A null id is the smallest
+and is returned as null. Long texts are hashed whole, in Spark. Of rows repeated in
 full, one is kept. An empty table gives an empty result. Other columns are
 ignored, whatever their names.
 """

@@ -12,8 +12,11 @@ each local group and one edge for each fingerprint streamed past), so a group
 of thousands of near copies costs a linear number of edges; connected
 components then give the groups.
 
-Null and empty texts have fingerprint zero and are linked like any other.
-Repeated rows share a fingerprint. Empty tables give empty results.
+Null and empty texts have fingerprint zero and are linked like any other. Null ids
+are returned as null and count as the smallest id of their group. Long texts are
+hashed whole. Of a group the row of smallest id stays, of equal ids the one of
+smallest text hash. Repeated rows share a fingerprint. Empty tables give empty results; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

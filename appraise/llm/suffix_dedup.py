@@ -13,8 +13,13 @@ The merge yields the order and the common prefixes; a window of 200 bytes that
 lies ``o`` bytes before its seed repeats if another entry has the same group by
 ``200 - o`` bytes of suffix and by ``o`` bytes of left context.
 
-Null and empty texts have nothing removed. Repeated rows (same id, same text)
-count as occurrences of each other. Empty tables give empty results; other
+Regions equal in 128 hash bits are settled where they meet and only the others reach
+the suffix runs and loser trees (``passages``). All suffixes of one 40-byte seed lie in one key
+range.
+
+Null and empty texts have nothing removed; null ids are ids like others. Long texts
+are cut into segments of windows. Repeated rows (same id, same text) count as
+occurrences of each other and are searched once. Empty tables give empty results; other
 columns are ignored.
 """
 

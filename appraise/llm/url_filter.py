@@ -8,7 +8,9 @@ component that holds a blocked URL blocks its members, unless it also holds an
 explicitly allowed URL. Everything else is allowed.
 
 Null URLs and URLs without ``://`` have empty host and path, fit no rule and
-have no aliases; null html has no edges. Repeated rows are judged alike, an
+have no aliases; null html has no edges, null page ids are returned as they are, long
+urls and pages are read whole. Of rules that fit equally long the later in
+code point order decides, block before allow. Repeated rows are judged alike, an
 empty table gives an empty result, other columns are ignored. DataFrame
 functions only.
 """

@@ -90,3 +90,36 @@ def test_url_edges(spark):
                    (4, "", "", None, "allow"), (5, "a.example.org", "/en/12", "example.org/en/1", "block"),
                    (5, "a.example.org", "/en/12", "example.org/en/1", "block"), (6, "x.com", "", None, "allow")]
     assert url_filter.judge_urls(df.limit(0), url_filter.RULES).collect() == []
+
+
+SAME = [n for n in OPERATORS if n not in ("packing", "language_model")]
+
+
+@pytest.mark.parametrize("name", SAME)
+def test_other_columns_change_nothing(spark, name):
+    """Clashing names beside the table's own columns leave every value as it is."""
+    plain = OPERATORS[name](spark.createDataFrame(ROWS, SCHEMA).repartition(3))
+    clash = OPERATORS[name](frame(spark, ROWS)).select(*plain.columns)
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, clash.collect()))
+
+
+def test_values_of_edge_rows(spark):
+    """Null, empty and blank texts count as empty; a repeated row is treated like the row it repeats."""
+    df = frame(spark, ROWS)
+    groups = {(r.doc_id, r.text_sha256): r for r in exact_dedup.exact_groups(df).collect()}
+    empty = [r for r in groups.values() if r.group_size == 4]
+    assert {r.doc_id for r in empty} == {3, 4, 5, 9} and {r.keep_id for r in empty} == {5}
+    assert {r.group_size for r in groups.values() if r.doc_id in (1, 2)} == {3}
+    judged = {(r["_doc"]["doc_id"], r["_doc"]["text"]): r for r in quality.judge(df).collect()}
+    assert all(judged[k]["_n_words"] == 0 and judged[k]["_base_failed"] for k in ((3, None), (4, ""), (5, " \t\n "), (9, None)))
+    assert judged[(6, LONG)]["_n_words"] == 30000
+    cut = {r._id: r for r in suffix_dedup.removed_bytes(df).collect()}
+    assert (cut[3].n, cut[3].removed, cut[7].removed) == (0, 0, 5000)
+    words = doubling_dedup.removed_words(df).where("_id = 2").collect()
+    assert len(words) == 2 and len({tuple(w) for w in words}) == 1
+    prints = {r._id: r for r in simhash.near_groups(df).collect()}
+    assert prints[3].fp == prints[4].fp == prints[5].fp == 0 and prints[1].fp == prints[2].fp
+    found = {r.doc_id: r for r in personal_data.find(df, personal_data.train([], steps=1)).collect()}
+    assert found[1].n_email == found[2].n_email == 1 and found[3].spans == found[4].spans == ""
+    taken = {(r["_id"], r["size"]) for r in mixing.mix(df, F.array("source"))[0].collect()}
+    assert (3, 0) in taken and (6, 30000) in taken
