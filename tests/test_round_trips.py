@@ -60,9 +60,9 @@ def test_exact_split_sizes_on_hard_keys(spark, keys):
     assert out == {"test": 100, "validation": math.ceil(0.2 * 900), "train": 720}
 
 
-def test_tied_equal_rows_fail_clearly(spark):
-    with pytest.raises(ValueError, match="sequence number"):
-        split_exact(spark.createDataFrame([("a",)] * 50, "k string"), "k").count()
+def test_tied_equal_rows_are_split_to_size(spark):
+    out = Counter(r.split for r in split_exact(spark.createDataFrame([("a",)] * 50, "k string"), "k").collect())
+    assert out == {"test": 5, "validation": 9, "train": 36}
 
 
 def test_fraction_split_of_null_keys_follows_the_seed(spark):

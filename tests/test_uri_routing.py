@@ -41,6 +41,8 @@ def test_routes_fixture(spark):
     assert [(r["model_type"], r["run_name"]) for r in out] == [("toyota", "Training-Toyota")]
 
 
-def test_routes_bound(spark):
-    with pytest.raises(ValueError):
-        routes_table(spark, [str(i) for i in range(10_001)])
+def test_many_routes_have_no_bound(spark):
+    routes = routes_table(spark, [f"m{i}" for i in range(10_500)])
+    paths = spark.createDataFrame([("in/m7/lelang/a.csv",), ("in/m10499/lelang/b.csv",), ("in/m/lelang/c.csv",)], "p string")
+    got = {(r.p, r.model_type) for r in route_paths(paths, "p", routes).collect()}
+    assert got == {("in/m7/lelang/a.csv", "m7"), ("in/m10499/lelang/b.csv", "m10499")}
