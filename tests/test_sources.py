@@ -88,3 +88,20 @@ def test_dynamic_overwrite_keeps_other_partitions(spark):
     day2 = read_csv(spark, f"{path}/model_type=toyota/run_date=20240102", "Type string, tahun int")
     assert (day1.count(), day2.count()) == (1, 2)
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_workbooks_are_bounded_and_stream(spark, tmp_path, monkeypatch):
+    """A large partition becomes several workbooks; a sheet is parsed and handed on row by row."""
+    from appraise.sources import workbook
+
+    monkeypatch.setattr(workbook, "BOOK_ROWS", 70)
+    monkeypatch.setattr(workbook, "BATCH_ROWS", 30)
+    df = spark.range(200).selectExpr("id", "concat('a<&>', id) AS t", "id / 8 AS v").coalesce(1)
+    path = str(tmp_path / "books")
+    assert workbook.write_workbooks(df, path) == 3
+    sizes = sorted(len(parse_xlsx(f.read_bytes())) - 1 for f in (tmp_path / "books").iterdir())
+    assert sizes == [60, 70, 70]
+    back = workbook.read_workbooks(spark, path, "id bigint, t string, v double")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    rows = workbook.sheet_rows((tmp_path / "books" / sorted(f.name for f in (tmp_path / "books").iterdir())[0]).read_bytes())
+    assert next(rows) == ["id", "t", "v"] and iter(rows) is rows
