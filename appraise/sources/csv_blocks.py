@@ -2,11 +2,12 @@
 
 A newline ends a record only outside quotes, and a task that starts in the middle of a
 file cannot see on which side it is. So the file is read as plain lines, block by
-block, twice. The first pass counts the quotes of every block; their running parity over
+block, three times. The first pass counts the quotes of every block; their running parity over
 a file's blocks (one row per block) says which blocks begin inside a quoted field. In the
-second pass a block, told its state, cuts its lines into records while they stream
-through; only the pieces of records that cross a block's edge, at most two per
-block, are shuffled and joined up. Records become columns by ``from_csv``. Doubled quotes
+other passes a block, told its state, cuts its lines into records while they stream
+through. The second keeps the headers and the pieces of records that cross a block's edge, at
+most two per block, in the scratch folder, where they are shuffled and joined up; the third
+gives all other records. Records become columns by ``from_csv``. Doubled quotes
 leave the parity as it is, so they need no care.
 
 Results equal those of Spark's own ``multiLine`` reader, which reads a whole file in one task.
@@ -25,6 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from appraise.session import written
+
 WHOLE, HEAD, TAIL = 0, 1, 2       # a record; the end of one begun before the block; the beginning of one not ended in it
 
 _PIECES = pa.schema([("file", pa.string()), ("block", pa.int64()), ("kind", pa.int8()), ("first", pa.bool_()),
@@ -111,10 +114,13 @@ def csv_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``record, first``: the text of every record; ``first`` marks the first of its file."""
     lines = block_lines(spark, path)
     # A table of one row per file block, held by every task: 100 TB in blocks of 128 MB are 800,000 rows.
-    known = lines.join(F.broadcast(open_blocks(lines)), ["file", "block"], "left")
+    known = lines.join(F.broadcast(written(open_blocks(lines), "csv-blocks")), ["file", "block"], "left")
     pieces = known.select("file", "block", "is_open", "value").mapInArrow(_records, _PIECES_DDL)
-    whole = pieces.filter(F.col("kind") == WHOLE).select(F.col("text").alias("record"), "first")
-    torn = pieces.filter(F.col("kind") != WHOLE)
+    kept = written(pieces.filter((F.col("kind") != WHOLE) | F.col("first")), "csv-edges")
+    # The literal lets a search for headers skip the pass over all records.
+    whole = pieces.filter((F.col("kind") == WHOLE) & ~F.col("first")).select(F.col("text").alias("record"), F.lit(False).alias("first"))
+    heads = kept.filter(F.col("kind") == WHOLE).select(F.col("text").alias("record"), "first")
+    torn = kept.filter(F.col("kind") != WHOLE)
     # Edge pieces in file order: a tail begins a record, heads go on until one is closed.
     order = Window.partitionBy("file").orderBy("block", "kind").rowsBetween(Window.unboundedPreceding, 0)
     place = torn.select("file", "block", "kind", "closed").withColumn(
@@ -125,7 +131,7 @@ def csv_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         F.max("first").alias("first"), F.max("closed").alias("closed"))
     ended = joined.withColumn("record", F.when(F.col("closed"), F.col("record")).otherwise(
         F.raise_error(F.concat(F.lit("a quote is not closed in "), "file"))))
-    return whole.unionByName(ended.select("record", "first"))
+    return whole.unionByName(heads).unionByName(ended.select("record", "first"))
 
 
 def read_quoted_csv(spark: SparkSession, path: str | Sequence[str], schema: str | StructType, sep: str = ",",

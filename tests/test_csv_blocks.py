@@ -72,3 +72,13 @@ def test_carriage_returns_and_blank_lines(spark):
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
     got = sorted(map(tuple, read_quoted_csv(spark, path, "a bigint, t string").filter(F.col("a").isNotNull()).collect()))
     assert got == [(1, "x\r\ny"), (2, "plain")]
+
+
+def test_blocks_are_cut_into_records_once(spark, tmp_path):
+    """The result's plan cuts the blocks once; headers and edge pieces come from the scratch folder."""
+    path = str(tmp_path / "once")
+    spark.createDataFrame([(1, 'a\n"b"'), (2, "c")], "a bigint, t string").repartition(2).write.option("escape", '"').option(
+        "header", True).csv(path)
+    df = read_quoted_csv(spark, path, "a bigint, t string")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, df.collect())) == [(1, 'a\n"b"'), (2, "c")]
