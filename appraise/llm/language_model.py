@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,7 @@ RATE = 0.1
 SCORE_LANES, SCORE_STEPS = 512, 64
 BLOCK = 1 << 15             # states whose classes are gathered at a time
 NEAR = 1 << 10              # states whose class softmax is taken at a time, near the core
+LARGE = 1e26                # sums of exponentials beyond it, or below its inverse, are taken again from shifted rows
 PIECE = 8192                # weights averaged in one group
 END = 0                     # the end token's place in the vocabulary
 
@@ -131,8 +133,7 @@ class Vocabulary:
 
 
 def encode(words: list[bytes], index: dict[bytes, int], rest: int) -> np.ndarray:
-    get = index.get
-    ids = np.fromiter((get(w, rest) for w in words), np.int64, len(words))
+    ids = np.fromiter(map(index.get, words, repeat(rest)), np.int64, len(words))
     return np.append(ids, END)
 
 
@@ -155,47 +156,62 @@ def _one(states: np.ndarray) -> np.ndarray:
 def step(w: dict, x: np.ndarray, h: np.ndarray):
     """One GRU step for input rows ``x``: the new state and what going back needs."""
     n = HIDDEN
-    a, g = w["x"][x], h @ w["u"]
+    a, g = w["x"].take(x, axis=0), h @ w["u"]
     s = a[:, :2 * n] + g[:, :2 * n]
-    s *= 0.5
-    np.tanh(s, out=s)                           # the sigmoid by tanh of half
-    s *= 0.5
-    s += 0.5
     z, r = s[:, :n], s[:, n:]
-    c = r * g[:, 2 * n:]
-    c += a[:, 2 * n:]
-    np.tanh(c, out=c)
-    return c + z * (h - c), (z, r, c, g[:, 2 * n:], h)
-
-
-def _exp(x: np.ndarray) -> np.ndarray:
-    """Exponentials in place and their sums by row; rows are shifted only where they could overflow."""
-    if x.max() > 60 or x.max(axis=1).min() < -60:
+    with np.errstate(over="ignore"):            # exponentials cost less than tanh; an infinite one gives 0, or tanh 1
+        np.exp(np.negative(s, out=s), out=s)
+        s += 1
+        np.divide(1, s, out=s)
+        c = r * g[:, 2 * n:]
+        c += a[:, 2 * n:]
+        c *= 2
+        np.exp(c, out=c)
+        c += 1
+        np.divide(-2, c, out=c)
+        c += 1                                  # tanh is 1 - 2 / (1 + exp(2 x))
+    new = h - c
+    new *= z
+    new += c
+    return new, (z, r, c, g[:, 2 * n:], h)
+
+
+def _exp(states: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of ``states @ w`` and their sums by row; rows are shifted only where they could overflow."""
+    x = states @ w
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)    # one product, not a reduction of short rows
+    if total.max() > LARGE or total.min() < 1 / LARGE:
+        x = states @ w
         x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    return x.sum(axis=1)
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    x *= (1 / _exp(x))[:, None]
-    return x
+        np.exp(x, out=x)
+        total = x.sum(axis=1)
+    return x, total
 
 
 def by_class(classes: np.ndarray):
-    """(class, rows) of the softmax classes present."""
+    """The rows in the order of their classes, and (class, its rows there) of the softmax classes present."""
     order = np.argsort(classes.astype(np.int16), kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        if edges[k] < edges[k + 1]:
-            yield k, order[edges[k]:edges[k + 1]]
+    edges = np.searchsorted(classes[order], np.arange(CLASSES + 1)).tolist()
+    return order, [(k, slice(*e)) for k, e in enumerate(zip(edges, edges[1:])) if e[0] < e[1]]
+
+
+def _log_share(states: np.ndarray, w: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of ``states @ w`` at one column per row."""
+    x, total = _exp(states, w)
+    return np.log(x[np.arange(len(at)), at] / total + np.float32(1e-38))
 
 
-def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log softmax at one column per row; ``x`` is used up."""
-    rows = np.arange(len(at))
-    total = _exp(x)
-    return np.log(x[rows, at] / total + np.float32(1e-38))
+def _pull(states: np.ndarray, w: np.ndarray, at: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a softmax with the goals ``at`` asks: exponentials less their sum at the goal, the states that
+    turn them into the gradient of ``w``, which both bear the division by the sum; ``out`` gets the states' gradient."""
+    x, total = _exp(states, w)
+    x[np.arange(len(at)), at] -= total
+    part = (1 / total)[:, None]
+    np.matmul(x, w[:HIDDEN].T, out=out)
+    out *= part
+    return x, states * part
 
 
 def log10_probs(w: dict, v: Vocabulary, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -203,11 +219,14 @@ def log10_probs(w: dict, v: Vocabulary, states: np.ndarray, ids: np.ndarray) ->
     classes, states = v.class_of(ids), _one(states)
     out = np.empty(len(ids))
     for s in range(0, len(ids), NEAR):
-        out[s:s + NEAR] = _log_share(states[s:s + NEAR] @ w["c"], classes[s:s + NEAR])
-    for k, rows in by_class(classes):
+        out[s:s + NEAR] = _log_share(states[s:s + NEAR], w["c"], classes[s:s + NEAR])
+    order, present = by_class(classes)
+    states, ids, inside = states.take(order, axis=0), ids[order], np.zeros(len(ids))
+    for k, rows in present:
         first, last = v.edges[k], v.edges[k + 1]
         if last - first > 1:                    # the only word of a class is certain in it
-            out[rows] += _log_share(states[rows] @ w["m"][first:last].T, ids[rows] - first)
+            inside[rows] = _log_share(states[rows], w["m"][first:last].T, ids[rows] - first)
+    out[order] += inside
     return out / math.log(10)
 
 
@@ -237,21 +256,19 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = No
         flat, goal = states.reshape(-1, HIDDEN), flow[at + 1:at + 1 + t].ravel()
         classes, one = v.class_of(goal), _one(flat)
         g = {}                                  # by weight, or by weight and the rows it moves
-        g["c"], dflat, out = np.zeros_like(w["c"]), np.empty_like(flat), w["c"][:HIDDEN].T.copy()
+        g["c"], dflat = np.zeros_like(w["c"]), np.empty_like(flat)
         for s in range(0, len(goal), NEAR):
-            d = _softmax(one[s:s + NEAR] @ w["c"])
-            d[np.arange(len(d)), classes[s:s + NEAR]] -= 1
-            g["c"] += one[s:s + NEAR].T @ d
-            np.matmul(d, out, out=dflat[s:s + NEAR])
-        for k, rows in by_class(classes):
+            e, mine = _pull(one[s:s + NEAR], w["c"], classes[s:s + NEAR], dflat[s:s + NEAR])
+            g["c"] += (e.T @ mine).T
+        order, present = by_class(classes)
+        one, sorted_goal, inside = one.take(order, axis=0), goal[order], np.zeros_like(flat)
+        for k, rows in present:
             part = slice(v.edges[k], v.edges[k + 1])
             if part.stop - part.start < 2:
                 continue
-            mine = one[rows]
-            e = _softmax(mine @ w["m"][part].T)
-            e[np.arange(len(rows)), goal[rows] - part.start] -= 1
+            e, mine = _pull(one[rows], w["m"][part].T, sorted_goal[rows] - part.start, inside[rows])
             g["m", k] = e.T @ mine
-            dflat[rows] += e @ w["m"][part, :HIDDEN]
+        dflat[order] += inside
         dstates, dh = dflat.reshape(t, lanes, HIDDEN), np.zeros((lanes, HIDDEN), np.float32)
         das, dgs = np.empty((2, t, lanes, 3 * HIDDEN), np.float32)
         back = w["u"].T.copy()
@@ -269,17 +286,25 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = No
             dh = dh * z + dg @ back
         g["u"] = np.concatenate([kept[0][4], flat[:-lanes]]).T @ dgs.reshape(-1, 3 * HIDDEN)
         order = np.argsort(xs.ravel().astype(np.uint16 if len(v.counts) < 1 << 16 else np.int64), kind="stable")
-        inputs, first = np.unique(xs.ravel()[order], return_index=True)
-        g["x", None] = np.add.reduceat(das.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
-        norm = math.sqrt(sum(float((a * a).sum()) for a in g.values())) / len(goal)
+        inputs = xs.ravel()[order]
+        first = np.flatnonzero(np.diff(inputs, prepend=-1))
+        inputs = inputs[first]
+        g["x", None] = np.add.reduceat(das.reshape(-1, 3 * HIDDEN).take(order, axis=0), first, axis=0)
+        norm = math.sqrt(sum(float(np.vdot(a, a)) for a in g.values())) / len(goal)
         scale = min(1.0, 1.0 / (norm + 1e-9)) / len(goal)
         for key, a in g.items():               # Adagrad
             name, k = key if isinstance(key, tuple) else (key, None)
             rows = inputs if name == "x" else slice(None) if k is None else slice(v.edges[k], v.edges[k + 1])
             a *= np.float32(scale)
-            s = seen[name][rows] + a * a
-            seen[name][rows] = s
-            w[name][rows] -= RATE * a / np.sqrt(s + 1e-8)
+            s = seen[name][rows]
+            s += a * a
+            if name == "x":                     # elsewhere ``s`` is a view
+                seen[name][rows] = s
+            root = s + np.float32(1e-8)
+            np.sqrt(root, out=root)
+            a *= np.float32(RATE)
+            a /= root
+            w[name][rows] -= a
     if lanes * length < len(ids) - 1:          # fewer than there are lanes
         train_stream(w, v, ids[lanes * length:], seen)
     return w, len(ids) - 1

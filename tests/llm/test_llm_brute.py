@@ -471,6 +471,26 @@ def test_training_lowers_loss(monkeypatch):
     assert n and language_model.score_ids(w, v, [stream[:200]])[0] > 0.6 * before
 
 
+def test_softmax_sums_and_gradients():
+    """Sums by one product, of shifted rows where exponentials overflow or vanish; the division is left to the states."""
+    r = np.random.default_rng(5)
+    states = np.column_stack([r.uniform(-1, 1, (40, language_model.HIDDEN)), np.ones(40)]).astype(np.float32)
+    w = r.normal(0, 1, (language_model.HIDDEN + 1, 30)).astype(np.float32)
+    at, rows = r.integers(0, 30, 40), np.arange(40)
+    for bias in (0, 200, -200):
+        moved = w.copy()
+        moved[-1] += bias
+        x = states.astype(np.float64) @ moved
+        p = np.exp(x - x.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        assert language_model._log_share(states, moved, at) == pytest.approx(np.log(p[rows, at]), abs=1e-3)
+        out = np.empty((40, language_model.HIDDEN), np.float32)
+        e, mine = language_model._pull(states, moved, at, out)
+        p[rows, at] -= 1
+        assert mine.T @ e == pytest.approx(states.T @ p, abs=1e-2)
+        assert out == pytest.approx(p @ moved[:-1].T, abs=1e-2)
+
+
 def test_every_training_document_trains(spark, docs, monkeypatch):
     reached = []
     monkeypatch.setattr(language_model, "train", lambda d, v: reached.append(d.count()) or language_model.new_weights(v))
