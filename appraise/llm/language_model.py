@@ -19,7 +19,8 @@ quarter of each shard (by hash) and again at the end the shards' weights are ave
 weight over the shards that moved it, in the order of the shards. A lost executor repeats its
 shard. Rows equal in id and text lie in one shard.
 
-Scoring carries the state across windows, so a score is the whole document's.
+Scoring carries the state across windows, so a score is the whole document's. Training and
+scoring read one table of the documents' ids.
 
 Null and empty texts are one end token. Null ids count as the empty string for
 the split. Very long texts are one stream of windows. Repeated rows are counted and
@@ -29,6 +30,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import Counter
 from itertools import repeat
@@ -51,6 +53,8 @@ RATE = 0.1
 SCORE_LANES, SCORE_STEPS = 512, 64
 BLOCK = 1 << 15             # states whose classes are gathered at a time
 NEAR = 1 << 10              # states whose class softmax is taken at a time, near the core
+ROOM = np.empty(1 << 17, np.float32)    # where softmaxes are taken: one place, that stays near the core
+ONES = np.ones(HEAD + 1, np.float32)
 LARGE = 1e26                # sums of exponentials beyond it, or below its inverse, are taken again from shifted rows
 PIECE = 8192                # weights averaged in one group
 END = 0                     # the end token's place in the vocabulary
@@ -177,12 +181,15 @@ def step(w: dict, x: np.ndarray, h: np.ndarray):
 
 
 def _exp(states: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials of ``states @ w`` and their sums by row; rows are shifted only where they could overflow."""
-    x = states @ w
+    """Exponentials of ``states @ w`` and their sums by row; rows are shifted only where they could overflow.
+
+    The exponentials lie in ``ROOM`` until the next call, if they fit there."""
+    size = len(states) * w.shape[1]
+    x = np.matmul(states, w, out=ROOM[:size].reshape(len(states), -1) if size <= len(ROOM) else None)
     with np.errstate(over="ignore"):
         np.exp(x, out=x)
-    total = x @ np.ones(x.shape[1], x.dtype)    # one product, not a reduction of short rows
-    if total.max() > LARGE or total.min() < 1 / LARGE:
+    total = x @ ONES[:x.shape[1]]               # one product, not a reduction of short rows
+    if np.maximum.reduce(total) > LARGE or np.minimum.reduce(total) < 1 / LARGE:
         x = states @ w
         x -= x.max(axis=1, keepdims=True)
         np.exp(x, out=x)
@@ -197,17 +204,28 @@ def by_class(classes: np.ndarray):
     return order, [(k, slice(*e)) for k, e in enumerate(zip(edges, edges[1:])) if e[0] < e[1]]
 
 
+def _goals(at: np.ndarray, width: int) -> np.ndarray:
+    """Places of one column per row in the flat matrix."""
+    return np.arange(0, len(at) * width, width) + at
+
+
 def _log_share(states: np.ndarray, w: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log softmax of ``states @ w`` at one column per row."""
-    x, total = _exp(states, w)
-    return np.log(x[np.arange(len(at)), at] / total + np.float32(1e-38))
+    width, out = w.shape[1], np.empty(len(at), np.float32)
+    rows = max(1, len(ROOM) // width)
+    for s in range(0, len(at), rows):
+        mine = slice(s, s + rows)
+        x, total = _exp(states[mine], w)
+        np.divide(x.ravel().take(_goals(at[mine], width)), total, out=out[mine])
+    out += np.float32(1e-38)
+    return np.log(out, out=out)
 
 
 def _pull(states: np.ndarray, w: np.ndarray, at: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What a softmax with the goals ``at`` asks: exponentials less their sum at the goal, the states that
     turn them into the gradient of ``w``, which both bear the division by the sum; ``out`` gets the states' gradient."""
     x, total = _exp(states, w)
-    x[np.arange(len(at)), at] -= total
+    x.ravel()[_goals(at, w.shape[1])] -= total
     part = (1 / total)[:, None]
     np.matmul(x, w[:HIDDEN].T, out=out)
     out *= part
@@ -230,6 +248,23 @@ def log10_probs(w: dict, v: Vocabulary, states: np.ndarray, ids: np.ndarray) ->
     return out / math.log(10)
 
 
+def adagrad(w: np.ndarray, seen: np.ndarray, g: np.ndarray, scale: float) -> None:
+    """One update in place, in pieces near the core; where ``g`` is zero nothing moves."""
+    w, seen, g = w.reshape(-1), seen.reshape(-1), g.reshape(-1)        # views of whole arrays
+    room = np.empty(min(len(g), NEAR * HIDDEN), np.float32)
+    for at in range(0, len(g), NEAR * HIDDEN):
+        a, s = g[at:at + NEAR * HIDDEN], seen[at:at + NEAR * HIDDEN]
+        root = room[:len(a)]
+        a *= np.float32(scale)
+        np.multiply(a, a, out=root)
+        s += root
+        np.add(s, np.float32(1e-8), out=root)
+        np.sqrt(root, out=root)
+        a *= np.float32(RATE)
+        a /= root
+        w[at:at + NEAR * HIDDEN] -= a
+
+
 def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = None) -> tuple[dict, int]:
     """Truncated backpropagation over a token stream, dealt to parallel lanes.
 
@@ -244,7 +279,7 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = No
     if length < 1:
         return w, 0
     flow = ids[np.arange(length + 1)[:, None] + np.arange(lanes) * length]      # a lane begins with the last goal before it
-    h = np.zeros((lanes, HIDDEN), np.float32)
+    h, edges = np.zeros((lanes, HIDDEN), np.float32), v.edges.tolist()
     for at in range(0, length, STEPS):
         t = min(STEPS, length - at)
         xs = flow[at:at + t]
@@ -255,20 +290,23 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = No
             kept.append(k)
         flat, goal = states.reshape(-1, HIDDEN), flow[at + 1:at + 1 + t].ravel()
         classes, one = v.class_of(goal), _one(flat)
-        g = {}                                  # by weight, or by weight and the rows it moves
-        g["c"], dflat = np.zeros_like(w["c"]), np.empty_like(flat)
+        g = {k: np.zeros_like(w[k]) for k in "cm"}
+        dflat = np.empty_like(flat)
         for s in range(0, len(goal), NEAR):
             e, mine = _pull(one[s:s + NEAR], w["c"], classes[s:s + NEAR], dflat[s:s + NEAR])
             g["c"] += (e.T @ mine).T
         order, present = by_class(classes)
-        one, sorted_goal, inside = one.take(order, axis=0), goal[order], np.zeros_like(flat)
+        one, inside, parts = one.take(order, axis=0), np.zeros_like(flat), []
+        member = goal[order] - v.edges[classes[order]]
         for k, rows in present:
-            part = slice(v.edges[k], v.edges[k + 1])
+            part = slice(edges[k], edges[k + 1])
             if part.stop - part.start < 2:
                 continue
-            e, mine = _pull(one[rows], w["m"][part].T, sorted_goal[rows] - part.start, inside[rows])
-            g["m", k] = e.T @ mine
-        dflat[order] += inside
+            e, mine = _pull(one[rows], w["m"][part].T, member[rows], inside[rows])
+            parts.append(np.matmul(e.T, mine, out=g["m"][part]))
+        turned = np.empty_like(order)
+        turned[order] = np.arange(len(order))
+        dflat += inside.take(turned, axis=0)
         dstates, dh = dflat.reshape(t, lanes, HIDDEN), np.zeros((lanes, HIDDEN), np.float32)
         das, dgs = np.empty((2, t, lanes, 3 * HIDDEN), np.float32)
         back = w["u"].T.copy()
@@ -289,22 +327,16 @@ def train_stream(w: dict, v: Vocabulary, ids: np.ndarray, seen: dict | None = No
         inputs = xs.ravel()[order]
         first = np.flatnonzero(np.diff(inputs, prepend=-1))
         inputs = inputs[first]
-        g["x", None] = np.add.reduceat(das.reshape(-1, 3 * HIDDEN).take(order, axis=0), first, axis=0)
-        norm = math.sqrt(sum(float(np.vdot(a, a)) for a in g.values())) / len(goal)
+        g["x"] = np.add.reduceat(das.reshape(-1, 3 * HIDDEN).take(order, axis=0), first, axis=0)
+        norm = math.sqrt(sum(float(np.vdot(a, a)) for a in (g["c"], *parts, g["u"], g["x"]))) / len(goal)
         scale = min(1.0, 1.0 / (norm + 1e-9)) / len(goal)
-        for key, a in g.items():               # Adagrad
-            name, k = key if isinstance(key, tuple) else (key, None)
-            rows = inputs if name == "x" else slice(None) if k is None else slice(v.edges[k], v.edges[k + 1])
-            a *= np.float32(scale)
-            s = seen[name][rows]
-            s += a * a
-            if name == "x":                     # elsewhere ``s`` is a view
-                seen[name][rows] = s
-            root = s + np.float32(1e-8)
-            np.sqrt(root, out=root)
-            a *= np.float32(RATE)
-            a /= root
-            w[name][rows] -= a
+        for name, a in g.items():
+            if name == "x":
+                now, s = w[name].take(inputs, axis=0), seen[name].take(inputs, axis=0)
+                adagrad(now, s, a, scale)
+                w[name][inputs], seen[name][inputs] = now, s
+            else:
+                adagrad(w[name], seen[name], a, scale)
     if lanes * length < len(ids) - 1:          # fewer than there are lanes
         train_stream(w, v, ids[lanes * length:], seen)
     return w, len(ids) - 1
@@ -326,25 +358,48 @@ def unflatten(flat: np.ndarray, like: dict) -> dict:
 PIECES = pa.schema([("piece", pa.int32()), ("shard", pa.int32()), ("values", pa.binary()), ("n", pa.float64())])
 PIECES_DDL = "piece int, shard int, values binary, n double"
 START = np.float32(1e-6)    # of the squared gradients
-ENCODED = pa.schema([("shard", pa.int32()), ("part", pa.int8()), ("order", pa.int64()), ("ids", pa.binary())])
-ENCODED_DDL = "shard int, part byte, order long, ids binary"
+ENCODED = pa.schema([("_id", pa.int64()), ("held_out", pa.bool_()), ("h", pa.int64()), ("n_tokens", pa.int64()),
+                     ("known", pa.int64()), ("base", pa.float64()), ("ids", pa.binary()), ("rest", pa.list_(pa.binary())),
+                     ("times", pa.list_(pa.int64()))])
+ENCODED_DDL = ("_id long, held_out boolean, h long, n_tokens long, known long, base double, ids binary, "
+               "rest array<binary>, times array<long>")
+
 
+def id_kind(v: Vocabulary):
+    return np.uint16 if len(v.counts) < 1 << 16 else np.uint32
 
-def _encoded(v: Vocabulary, shards: int):
-    """Documents as ids, with their shard, round and place there, all from one hash."""
+
+def _encoded(v: Vocabulary):
+    """Every document's ids, what the counts say of them, and its words outside the head."""
     def run(batches):
-        index, rest = v.index(), len(v.counts)
-        kind = np.uint16 if rest < 1 << 16 else np.uint32
-        bounds = np.cumsum(ROUNDS)[:-1]
+        index, n_head, kind = v.index(), len(v.counts), id_kind(v)
+        logs = np.log10(v.counts + 0.5)
         for b in batches:
-            hashes = b.column("h").to_numpy().view(np.uint64)
-            part = np.searchsorted(bounds, (hashes >> np.uint64(40)) / 2.0 ** 24, "right")
-            ids = [encode(t.lower().split(), index, rest).astype(kind).tobytes() for t in binary_rows(b.column("_text"))]
-            yield batch_of(ENCODED, [(hashes % np.uint64(shards)).astype(np.int32), part.astype(np.int8),
-                                     hashes.view(np.int64), ids])
+            ids, sizes, known, base, rest, times = [], [], [], [], [], []
+            for text in binary_rows(b.column("_text")):
+                words = text.lower().split()
+                doc = encode(words, index, n_head)
+                in_head = doc[doc < n_head]
+                far = Counter([words[i] for i in np.flatnonzero(doc == n_head)])
+                ids.append(doc.astype(kind).tobytes())
+                sizes.append(len(doc))
+                known.append(int((v.counts[in_head] > 0).sum()))
+                base.append(float(logs[in_head].sum()))
+                rest.append(list(far))
+                times.append(list(far.values()))
+            yield batch_of(ENCODED, [b.column("_id"), b.column("held_out"), b.column("h"), sizes, known, base, ids, rest, times])
     return run
 
 
+def dealt(docs: DataFrame, shards: int) -> DataFrame:
+    """``ids`` with their shard, round and order there, all from the hash ``h`` as an unsigned number."""
+    h, n = F.col("h"), F.lit(shards).cast("long")
+    shard = F.pmod(F.pmod(h, n) + F.when(h < 0, F.lit(2 ** 64 % shards)).otherwise(F.lit(0)), n)
+    share = F.shiftrightunsigned(h, 40) / F.lit(2.0 ** 24)
+    part = sum(((share >= F.lit(float(b))).cast("int") for b in np.cumsum(ROUNDS)[:-1]), F.lit(0))
+    return docs.select(shard.cast("int").alias("shard"), part.alias("part"), h.alias("order"), "ids")
+
+
 def chunks(rows, kind):
     """Token streams of bounded size from documents' ids, each stream after an end token."""
     held, n = [], 0
@@ -359,15 +414,14 @@ def chunks(rows, kind):
 
 
 def train(docs: DataFrame, v: Vocabulary, shard_tokens: int = SHARD_TOKENS) -> dict[str, np.ndarray]:
-    """Rounds of training by shard and averaging; ``docs`` holds ``_text`` and a hash ``h`` of the training documents.
+    """Rounds of training by shard and averaging; ``docs`` holds ``ids`` and a hash ``h`` of the training documents.
 
     What the shards send grows with their number, that is with the tokens: a shard's
     moved weights (17 MB at most) for every ``SHARD_TOKENS`` tokens and round.
     """
     w = new_weights(v)
     shards = max(1, math.ceil(v.total / shard_tokens))
-    kind = np.uint16 if len(v.counts) < 1 << 16 else np.uint32
-    dealt = cut(docs.select("_text", "h").mapInArrow(_encoded(v, shards), ENCODED_DDL), "tokens")
+    kind, rows_of = id_kind(v), dealt(docs, shards)
 
     for part in range(len(ROUNDS)):
         def local(batches, w=w):
@@ -412,7 +466,7 @@ def train(docs: DataFrame, v: Vocabulary, shard_tokens: int = SHARD_TOKENS) -> d
             if now is not None:
                 yield done()
 
-        streams = dealt.where(F.col("part") == part).repartitionById(shards, F.col("shard")).sortWithinPartitions("order", "ids")
+        streams = rows_of.where(F.col("part") == part).repartitionById(shards, F.col("shard")).sortWithinPartitions("order", "ids")
         pieces = streams.mapInArrow(local, PIECES_DDL).repartition("piece").sortWithinPartitions("piece", "shard")
         flat = flatten(w)
         for r in pieces.mapInArrow(average, PIECES_DDL).collect():
@@ -425,66 +479,65 @@ def train(docs: DataFrame, v: Vocabulary, shard_tokens: int = SHARD_TOKENS) -> d
 
 # --- scoring --------------------------------------------------------------
 
+def lanes_of(sizes: np.ndarray, most: int) -> list[list[int]]:
+    """Documents dealt whole to at most ``most`` lanes, the longest first, each to the shortest lane; the longest lane first."""
+    lanes = [[] for _ in range(min(most, len(sizes)))]
+    heap = [(0, k) for k in range(len(lanes))]
+    for i in np.argsort(-sizes, kind="stable").tolist():
+        n, k = heapq.heappop(heap)
+        lanes[k].append(i)
+        heapq.heappush(heap, (n + int(sizes[i]), k))
+    return [lanes[k] for _, k in sorted(heap, key=lambda x: (-x[0], x[1]))]
+
+
 def score_ids(w: dict, v: Vocabulary, docs: list[np.ndarray]) -> np.ndarray:
-    """Log10 probability per document, the state carried over windows; rest words without their inside."""
+    """Log10 probability per document, the state carried over windows; rest words without their inside.
+
+    A lane goes through its documents one after the other, so nearly all lanes are busy until the end."""
     out = np.zeros(len(docs))
-    order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
-    for at in range(0, len(order), SCORE_LANES):
-        lanes = order[at:at + SCORE_LANES]
-        size = np.array([len(docs[i]) for i in lanes])
-        h = np.zeros((len(lanes), HIDDEN), np.float32)
-        last = np.full(len(lanes), END)
-        for start in range(0, int(size[0]), SCORE_STEPS):
-            n = int((size > start).sum())                  # lanes are sorted: the first n go on
-            steps = min(SCORE_STEPS, int(size[0]) - start)
-            live = [int(np.searchsorted(-size, -(start + s + 1), "right")) for s in range(steps)]
-            ids = np.zeros((n, steps), np.int64)
-            for j in range(n):
-                part = docs[lanes[j]][start:start + steps]
-                ids[j, :len(part)] = part
-            xs = np.concatenate((last[:n, None], ids[:, :-1]), axis=1)
-            h, states, lane, goal = h[:n], [], [], []
-            for s in range(steps):
-                k = live[s]
-                h, _ = step(w, xs[:k, s], h[:k])
-                states.append(h)
-                lane.append(np.arange(k))
-                goal.append(ids[:k, s])
-            lane = np.concatenate(lane)
-            states, goal = np.concatenate(states), np.concatenate(goal)
-            p = np.concatenate([log10_probs(w, v, states[a:a + BLOCK], goal[a:a + BLOCK])
-                                for a in range(0, len(goal), BLOCK)])
-            out[np.array(lanes)[:n]] += np.bincount(lane, p, minlength=n)
-            last = ids[:, -1]
+    if not len(docs):
+        return out
+    sizes = np.fromiter(map(len, docs), np.int64, len(docs))
+    lanes = lanes_of(sizes, SCORE_LANES)
+    order = np.concatenate([np.array(x, np.int64) for x in lanes])
+    flow = np.concatenate([docs[i] for i in order]).astype(np.int32)        # ids that fit 16 bits come as such
+    owner = np.repeat(order.astype(np.int32), sizes[order])
+    inputs = np.append(np.int32(END), flow[:-1])
+    fresh = np.append(True, owner[1:] != owner[:-1])
+    inputs[fresh] = END
+    length = np.array([sizes[x].sum() for x in lanes])
+    begin = np.cumsum(length) - length
+    h = np.zeros((len(lanes), HIDDEN), np.float32)
+    for start in range(0, int(length[0]), SCORE_STEPS):
+        at = np.arange(start, min(start + SCORE_STEPS, int(length[0])))
+        live = np.searchsorted(-length, -at)                # lanes are sorted: the first go on
+        places = [begin[:k] + a for k, a in zip(live.tolist(), at.tolist())]
+        place = np.concatenate(places)
+        xs, new, states, n = inputs[place], fresh[place], np.empty((len(place), HIDDEN), np.float32), 0
+        for k in live.tolist():
+            h = h[:k]
+            h[new[n:n + k]] = 0
+            h, _ = step(w, xs[n:n + k], h)
+            states[n:n + k] = h
+            n += k
+        goal = flow[place]
+        p = np.concatenate([log10_probs(w, v, states[a:a + BLOCK], goal[a:a + BLOCK]) for a in range(0, len(goal), BLOCK)])
+        out += np.bincount(owner[place], p, minlength=len(docs))
     return out
 
 
-SCORED = pa.schema([("_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()),
-                    ("base", pa.float64()), ("score", pa.float64()), ("rest", pa.list_(pa.binary())),
-                    ("times", pa.list_(pa.int64()))])
-SCORED_DDL = ("_id long, held_out boolean, n_tokens long, known long, base double, score double, "
-              "rest array<binary>, times array<long>")
+SCORED = pa.schema([("_row", pa.int64()), ("_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+                    ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+SCORED_DDL = "_row long, _id long, held_out boolean, n_tokens long, known long, base double, score double"
 
 
 def _score(w: dict, v: Vocabulary):
     def run(batches):
         one_thread()
-        index, n_head = v.index(), len(v.counts)
-        logs = np.log10(v.counts + 0.5)
+        kind = id_kind(v)
         for b in batches:
-            ids, known, base, rest, times = [], [], [], [], []
-            for text in binary_rows(b.column("_text")):
-                words = text.lower().split()
-                doc = encode(words, index, n_head)
-                in_head = doc[doc < n_head]
-                far = Counter([words[i] for i in np.flatnonzero(doc == n_head)])
-                ids.append(doc)
-                known.append(int((v.counts[in_head] > 0).sum()))
-                base.append(float(logs[in_head].sum()))
-                rest.append(list(far))
-                times.append(list(far.values()))
-            yield batch_of(SCORED, [b.column("_id"), b.column("held_out"), [len(d) for d in ids], known, base,
-                                    score_ids(w, v, ids), rest, times])
+            score = score_ids(w, v, [np.frombuffer(i, kind) for i in binary_rows(b.column("ids"))])
+            yield batch_of(SCORED, [*(b.column(c) for c in SCORED.names[:-1]), score])
     return run
 
 
@@ -496,9 +549,11 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = learn.count()
     v = Vocabulary(head_of(counts, HEAD - 1), ends, sums["n"] + ends, sums["v"] + (ends > 0))
-    w = train(learn.select("_text", F.xxhash64("_id", "_text").alias("h")), v)
-    part = cut(rows.mapInArrow(_score(w, v), SCORED_DDL).withColumn("_row", F.monotonically_increasing_id()), "scores")
-    rest = part.select("_row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select(
+    coded = cut(rows.withColumn("h", F.xxhash64("_id", "_text")).mapInArrow(_encoded(v), ENCODED_DDL)
+                .withColumn("_row", F.monotonically_increasing_id()), "tokens")     # read for training and scoring
+    w = train(coded.where("not held_out").select("h", "ids"), v)
+    part = cut(coded.select(*SCORED.names[:-1], "ids").mapInArrow(_score(w, v), SCORED_DDL), "scores")
+    rest = coded.select("_row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select(
         "_row", F.col("x.rest").alias("word"), F.col("x.times").alias("n"))
     logs = F.log10(F.coalesce("c", F.lit(0)) + 0.5)
     rest = rest.join(counts, "word", "left").groupBy("_row").agg(
@@ -506,7 +561,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rest_known"))
     scale = math.log10(v.total + 0.5 * (v.distinct + 1))
     zero = F.lit(0)
-    return part.drop("rest", "times").join(rest, "_row", "left").select(
+    return part.join(rest, "_row", "left").select(
         real_id("_id").alias("doc_id"), "held_out", "n_tokens",
         (F.col("known") + F.coalesce("rest_known", zero)).alias("n_known"),
         F.lit(int(v.total)).cast("long").alias("train_tokens"),

@@ -491,6 +491,48 @@ def test_softmax_sums_and_gradients():
         assert out == pytest.approx(p @ moved[:-1].T, abs=1e-2)
 
 
+def test_scoring_keeps_its_lanes_busy(monkeypatch):
+    v = small_vocabulary(monkeypatch)
+    r = np.random.default_rng(8)
+    docs = [r.integers(0, 4502, n) for n in (1 + 400 * r.random(1024) ** 2).astype(int)]
+    steps, plain = [], language_model.step
+    monkeypatch.setattr(language_model, "step", lambda w, x, h: steps.append(len(x)) or plain(w, x, h))
+    w = language_model.new_weights(v)
+    got = language_model.score_ids(w, v, docs)
+    tokens = sum(map(len, docs))
+    assert sum(steps) == tokens and len(steps) < 1.1 * max(tokens / language_model.SCORE_LANES, *map(len, docs))
+    for i in (0, 1, 500, 1023):
+        assert language_model.score_ids(w, v, [docs[i]])[0] == pytest.approx(got[i], rel=1e-5)
+    assert language_model.score_ids(w, v, []).tolist() == []
+
+
+def test_documents_are_encoded_once(spark, monkeypatch):
+    """Training and scoring read the same ids; shards and rounds come from the hash as an unsigned number."""
+    cuts, plain = [], language_model.cut
+    monkeypatch.setattr(language_model, "cut", lambda d, label: cuts.append((label, d.columns)) or plain(d, label))
+    rows = [(1, "a b"), (1, "a b"), (None, None), (2, "B c d"), (7, "")]
+    assert language_model.scores(spark.createDataFrame(rows, "doc_id long, text string")).count() == 5
+    assert [label for label, c in cuts if "ids" in c] == ["tokens"]
+    hashes = [0, 1, -1, 12345678901234567, -(1 << 63), (1 << 63) - 1, -98765432109876543, 1 << 62, (1 << 62) - 1]
+    for shards in (1, 3, 13, 64):
+        d = spark.createDataFrame([(h, b"") for h in hashes], "h long, ids binary")
+        got = {r.order: (r.shard, r.part) for r in language_model.dealt(d, shards).collect()}
+        for h in hashes:
+            u = h % (1 << 64)
+            assert got[h] == (u % shards, int((u >> 40) / 2 ** 24 >= 0.25))
+
+
+def test_updates_are_adagrad():
+    r = np.random.default_rng(9)
+    w, seen, g = (r.normal(0, 1, (3000, 17)).astype(np.float32) for _ in range(3))
+    seen, g = np.abs(seen), np.where(r.random((3000, 1)) < 0.5, g, 0).astype(np.float32)
+    w0, s0, g0 = w.copy(), seen.copy(), g * np.float32(0.01)
+    language_model.adagrad(w, seen, g, 0.01)
+    assert seen == pytest.approx(s0 + g0 * g0)
+    assert w == pytest.approx(w0 - language_model.RATE * g0 / np.sqrt(s0 + g0 * g0 + 1e-8), rel=1e-5, abs=1e-6)
+    assert (w == w0)[g0 == 0].all() and (seen == s0)[g0 == 0].all()
+
+
 def test_every_training_document_trains(spark, docs, monkeypatch):
     reached = []
     monkeypatch.setattr(language_model, "train", lambda d, v: reached.append(d.count()) or language_model.new_weights(v))
